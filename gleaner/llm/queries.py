@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleaner.llm import leak, mojibake, residue, seen, tokens
 from gleaner.llm import percentiles as pct
-from gleaner.llm import seen
 from gleaner.sources import table
 
 
@@ -27,6 +27,29 @@ def p1_wrong(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def p3_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = table(spark, sf_dir, "archive_data").select(F.col("archive_id").alias("rec_id"), "title")
+    products = table(spark, sf_dir, "product_info").select("rec_id", "title")
+    return mojibake.damaged([("archive_data", archive), ("product_info", products)])
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p3_damaged(spark, sf_dir).select("tab", "rec_id")
+
+
+def p4_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.residue(table(spark, sf_dir, "archive_data"))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p4_reasons(spark, sf_dir).filter("coalesce(title_why, cdoc_why) IS NOT NULL").select("archive_id")
+
+
+def p4_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that hold real content."""
+    return p4_reasons(spark, sf_dir).filter("coalesce(title_why, cdoc_why) IS NULL").select("archive_id")
+
+
 def _states(spark: SparkSession, sf_dir: str, rel_error: float = 0.0) -> DataFrame:
     day = F.to_date(F.timestamp_micros("crawl_timestamp"))
     keys = {"host": F.col("host"), "link_from": F.col("link_from"), "day": day}
@@ -43,7 +66,17 @@ def p6_host_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pct.percentiles(states, ["host"])
 
 
-_SIGN = """CAST(CASE WHEN v >= 9223372036854775808 THEN CAST(v AS HUGEINT) - 18446744073709551616 ELSE v END AS BIGINT)"""
+def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.encode(table(spark, sf_dir, "documents"))
+
+
+def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leak.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p8_leaks(spark, sf_dir).filter("kind = 'verbatim'").select("doc_id", "item_id")
+
 
 _KEYS = r"""
 WITH a AS (SELECT 0 AS new_id, clicked_url AS u, sign AS s FROM crawl_status
@@ -68,8 +101,16 @@ SELECT host, link_from, day, metric, n, v[(n * 50 + 99) // 100] AS p50, v[(n * 9
 QUERIES = {
     "p1_found": p1_found,
     "p1_wrong": p1_wrong,
+    "p3_found": p3_found,
+    "p3_damaged": p3_damaged,
+    "p4_found": p4_found,
+    "p4_reasons": p4_reasons,
+    "p4_kept": p4_kept,
     "p6_percentiles": p6_percentiles,
     "p6_host_days": p6_host_days,
+    "p7_ids": p7_ids,
+    "p8_found": p8_found,
+    "p8_leaks": p8_leaks,
 }
 
 ORACLE = {
