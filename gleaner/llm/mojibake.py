@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.session import spread
+from gleaner.session import spread, written
 
 # Encodings met on the web, as used wrongly and as the text's own.
 USED = "cp1252 gb18030 cp950 cp932 euc_jp euc_kr cp1251 koi8_r mac_roman cp866 iso8859_5 cp1250 iso8859_2 cp437 iso8859_15 mac_cyrillic".split()
@@ -74,7 +74,8 @@ def probable_pairs(counts: DataFrame, least: float) -> dict[int, float]:
         .filter(F.col("term") >= least)
         .select("pair", F.log("p").alias("logp"))
     )
-    return {r.pair: r.logp for r in terms.toLocalIterator()}
+    few = terms.toPandas()
+    return dict(zip(few.pair.tolist(), few.logp.tolist()))
 
 
 class Restorer:
@@ -235,7 +236,8 @@ def damaged(tables: list[tuple[str, DataFrame]], least: float = 1e-4) -> DataFra
     for name, df in tables:
         part = df.select(F.lit(name).alias("tab"), F.col("rec_id").cast("bigint").alias("rec_id"), "title").filter("title <> ''")
         rows = part if rows is None else rows.unionByName(part)
-    logp = probable_pairs(pair_counts(rows.select("title")), least)
+    counts = written(pair_counts(rows.select("title")), "pairs")  # read several times below
+    logp = probable_pairs(counts, least)
     floor = math.log(least) - 4
     shared = spark.sparkContext.broadcast(logp)
 
