@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleaner.session import written
+
 METRICS = ["crawl_time", "connect_time", "donwload_speed", "response_code"]
 
 
@@ -51,7 +53,7 @@ def combine(states: DataFrame, keys: list[str]) -> DataFrame:
     return states.groupBy(*keys, "metric", "value").agg(F.sum("n").alias("n"))
 
 
-def percentiles(states: DataFrame, keys: list[str], percents: tuple[int, ...] = (50, 90, 99), splits: int = 8) -> DataFrame:
+def percentiles(states: DataFrame, keys: list[str], percents: tuple[int, ...] = (50, 90, 99), splits: int = 2) -> DataFrame:
     """Per group and metric: n and p<percent>, the smallest value whose running count reaches ceil(percent % of n).
 
     splits: value ranges per factor of two; a hot group's values lie in so many ranges, each its
@@ -59,8 +61,11 @@ def percentiles(states: DataFrame, keys: list[str], percents: tuple[int, ...] =
     """
     group = [*keys, "metric"]
     # null-safe group ids, so that joins below keep null keys
-    ranged = states.withColumn(
-        "bin", F.when(F.col("value") == 0, F.lit(-1000000)).otherwise(F.floor(F.log2("value") * splits)).cast("int")
+    ranged = written(  # read twice: for the totals and for the ranges that hold a target
+        states.withColumn(
+            "bin", F.when(F.col("value") == 0, F.lit(-1000000)).otherwise(F.floor(F.log2("value") * splits)).cast("int")
+        ),
+        "value-counts",
     )
     totals = ranged.groupBy(*group, "bin").agg(F.sum("n").alias("bin_n"))
     upto = Window.partitionBy(*group).orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
