@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gleaner.plans import general
+from gleaner.plans import aggregates, base, general, join_queries  # noqa: F401
 
-QUERIES = {**general.QUERIES}
-ORACLE = {**general.ORACLE}
+QUERIES = {**base.QUERIES, **general.QUERIES}
+ORACLE = {**base.ORACLE, **general.ORACLE}
