@@ -51,7 +51,7 @@ def p4_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _states(spark: SparkSession, sf_dir: str, rel_error: float = 0.0) -> DataFrame:
-    day = F.to_date(F.timestamp_micros("crawl_timestamp"))
+    day = F.date_from_unix_date(F.floor(F.col("crawl_timestamp") / F.lit(86_400_000_000)).cast("int"))  # UTC, whatever the session
     keys = {"host": F.col("host"), "link_from": F.col("link_from"), "day": day}
     return pct.value_counts(table(spark, sf_dir, "crawl_info"), "info_id", keys, rel_error=rel_error)
 
