@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import leak, mojibake, residue, seen, tokens
+from gleaner.llm import leak, mojibake, pii, residue, seen, tokens
 from gleaner.llm import percentiles as pct
 from gleaner.sources import table
 
@@ -78,6 +78,14 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_leaks(spark, sf_dir).filter("kind = 'verbatim'").select("doc_id", "item_id")
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+def p9_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.redacted(table(spark, sf_dir, "documents"))
+
+
 _KEYS = r"""
 WITH a AS (SELECT 0 AS new_id, clicked_url AS u, sign AS s FROM crawl_status
            UNION ALL SELECT new_id, clicked_url, NULL FROM new_url),
@@ -111,6 +119,8 @@ QUERIES = {
     "p7_ids": p7_ids,
     "p8_found": p8_found,
     "p8_leaks": p8_leaks,
+    "p9_found": p9_found,
+    "p9_redacted": p9_redacted,
 }
 
 ORACLE = {
