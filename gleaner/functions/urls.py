@@ -52,7 +52,7 @@ def depth(url: Column) -> Column:
 def normalize(url: Column, max_length: int = 2048) -> Column:
     """Trimmed, without leading %XX, without fragment, http added, scheme and host in lower case, '/' as least path; null if too long or empty."""
     u = F.regexp_replace(F.trim(url), r"^(%[0-9A-Fa-f]{2})+", "")
-    u = F.regexp_replace(u, r"#.*$", "")
+    u = F.regexp_replace(u, r"(?s)#.*$", "")
     u = F.when(u.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), u).otherwise(F.concat(F.lit("http://"), u))
     head = F.regexp_extract(u, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?]*)", 1)
     rest = F.substr(u, F.length(head) + 1)

@@ -45,6 +45,8 @@ def greedy_match(searches: DataFrame, clicks: DataFrame, keys: list[str], contai
     w = Window.partitionBy(*keys).orderBy("ts", "side", "id")
     cut = F.coalesce(F.col("ts") - F.lag("ts").over(w) > reach, F.lit(False)).cast("int")
     both = both.withColumn("_new", cut).withColumn("_part", F.sum("_new").over(w)).drop("_new")
+    part = Window.partitionBy(*keys, "_part")  # parts with one side only can't match
+    both = both.withColumn("_sides", F.max("side").over(part) - F.min("side").over(part)).filter("_sides = 1").drop("_sides")
     types = {f.name: f.dataType.simpleString() for f in both.schema}
     schema = ", ".join([*[f"{k} {types[k]}" for k in keys], f"sid {types['id']}", f"cid {types['id']}", "step int"])
 

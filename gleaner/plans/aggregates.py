@@ -195,7 +195,7 @@ def r084_latest_with_commands(spark, d):
 
 
 @query(
-    "SELECT url, max(crawl_timestamp) AS latest, CAST(arg_max(response_code, (crawl_timestamp, info_id)) AS BIGINT) AS response_code FROM crawl_info GROUP BY url"
+    "SELECT url, max(crawl_timestamp) AS latest, nullif(CAST(arg_max(coalesce(response_code, -9), (crawl_timestamp, info_id)) AS BIGINT), -9) AS response_code FROM crawl_info GROUP BY url"
 )
 def r085_latest_page(spark, d):
     at = F.struct("crawl_timestamp", "info_id")

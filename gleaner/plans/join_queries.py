@@ -103,7 +103,7 @@ def r051_show_click(spark, d):
 @query(
     """SELECT c.user_id, c.event_id AS click_id, arg_min(v.event_id, (abs(epoch_us(v.ts) - epoch_us(c.ts)), v.event_id)) AS show_id,
 min(abs(epoch_us(v.ts) - epoch_us(c.ts))) / 1e6 AS gap_s FROM events c JOIN events v ON v.event_type = 'view' AND v.user_id = c.user_id
-AND abs(epoch_us(v.ts) - epoch_us(c.ts)) <= 36000 * 1000000 WHERE c.event_type = 'click' GROUP BY c.user_id, c.event_id"""
+AND abs(epoch_us(v.ts) - epoch_us(c.ts)) <= 36000000000 WHERE c.event_type = 'click' GROUP BY c.user_id, c.event_id"""
 )
 def r052_nearest_show(spark, d):
     ev = table(spark, d, "events")
@@ -115,7 +115,7 @@ def r052_nearest_show(spark, d):
 @query(
     """SELECT user_id, event_id AS a_id, next_id AS b_id FROM (SELECT *, lead(event_id) OVER w AS next_id, lead(side) OVER w AS next_side, lead(ts) OVER w AS next_ts
 FROM (SELECT user_id, event_id, ts, CASE WHEN event_type = 'view' THEN 'A' ELSE 'B' END AS side FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY ts, side, event_id))
-WHERE side = 'A' AND next_side = 'B' AND epoch_us(next_ts) - epoch_us(ts) <= 3600 * 1000000"""
+WHERE side = 'A' AND next_side = 'B' AND epoch_us(next_ts) - epoch_us(ts) <= 3600000000"""
 )
 def r053_adjacent_match(spark, d):
     ev = table(spark, d, "events").select("user_id", "event_id", "ts", F.when(F.col("event_type") == "view", "A").otherwise("B").alias("side"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gleaner.plans import aggregates, base, general, join_queries  # noqa: F401
+from gleaner.plans import aggregates, base, filters, general, join_queries, ranking  # noqa: F401
 
 QUERIES = {**base.QUERIES, **general.QUERIES}
 ORACLE = {**base.ORACLE, **general.ORACLE}
