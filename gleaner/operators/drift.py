@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleaner.session import written
+
 # Known names of one quantity, canonical name first, with the type of its column.
 ALIASES = {
     "crawl_timestamp": ("bigint", ["crawl_timestamp", "crawler_timestamp", "Crawl_Timestamp", "crawlTimestamp", "fetched_at"]),
@@ -100,8 +102,8 @@ def changes(batches: DataFrame, record_key: str = "rec_no") -> DataFrame:
     belong to no file. Repeated records count once. An empty table gives no rows.
     """
     known = batches.filter(F.col("feed").isNotNull() & F.col("batch_no").isNotNull())
-    fields = record_fields(known, record_key)
-    cat = catalogue(fields)
+    fields = written(record_fields(known, record_key), "fields")  # parsed once, read four times below
+    cat = written(catalogue(fields), "catalogue")
     files = known.select("feed", "batch_no").distinct()
     follows = files.join(
         files.select("feed", (F.col("batch_no") + 1).alias("batch_no")), ["feed", "batch_no"], "left_semi"
@@ -163,6 +165,7 @@ def changes(batches: DataFrame, record_key: str = "rec_no") -> DataFrame:
         .filter("a = 1 AND b = 1")
         .select("feed", "batch_no", F.lit("renamed").alias("change"), "old_name", "new_name")
     )
+    renamed = written(renamed, "renamed")
 
     def unpaired(side: DataFrame, change: str, paired: str) -> DataFrame:
         rest = side.join(
