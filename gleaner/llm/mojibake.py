@@ -59,9 +59,9 @@ def probable_pairs(counts: DataFrame, least: float) -> dict[int, float]:
     than the pair), so fewer than about 16 / least pairs qualify: the bound of what is
     broadcast, whatever the corpus.
     """
-    total = counts.filter("pair = -1").select(F.col("n").alias("total"))
-    pairs = counts.filter("pair >= 0").crossJoin(F.broadcast(total))  # a single row
-    enough = pairs.filter(F.col("n") > 1).filter(F.col("n") * F.log(F.col("total")) >= F.col("total") * least)
+    row = counts.filter("pair = -1").first()
+    total = F.lit(float(row["n"]) if row else 0.0)
+    enough = counts.filter("pair >= 0").filter(F.col("n") > 1).filter(F.col("n") * F.log(total) >= total * least)
     by = lambda c, name: counts.filter("pair >= 0").groupBy(c.alias(name)).agg(F.sum("n").alias(f"n_{name}"))
     left, right = F.shiftright("pair", 21), F.col("pair").bitwiseAND((1 << 21) - 1)
     terms = (
@@ -69,8 +69,8 @@ def probable_pairs(counts: DataFrame, least: float) -> dict[int, float]:
         .withColumn("b", right)
         .join(by(left, "a"), "a")
         .join(by(right, "b"), "b")
-        .withColumn("p", F.col("n") / F.col("total"))
-        .withColumn("term", F.col("p") * F.log(F.col("n") * F.col("total") / (F.col("n_a") * F.col("n_b"))))
+        .withColumn("p", F.col("n") / total)
+        .withColumn("term", F.col("p") * F.log(F.col("n") * total / (F.col("n_a") * F.col("n_b"))))
         .filter(F.col("term") >= least)
         .select("pair", F.log("p").alias("logp"))
     )
