@@ -25,10 +25,11 @@ _BRITAIN = r"(?:(?:\+|00)44 ?(?:\(0\) ?)?|0)(?:\d{2} \d{4} \d{4}|7\d{3} ?\d{6}|\
 _GERMANY = r"(?:(?:\+|00)49[ /-]?(?:\(0\) ?)?\d{2,4}[ /-]?|\(?0\d{2,4}\)?[ /-])\d{3,8}(?:[ -]\d{1,4})?"
 _FRANCE = r"(?:(?:\+|00)33[ .]?(?:\(0\) ?)?|0)\d(?:[ .-]?\d{2}){4}"
 _SPAIN = r"(?:(?:\+|00)34[ -]?)?\d{3}[ -]\d{3}[ -]\d{3}"
-_APART = r"(?:0\d{3}-\d{4} \d{4}|1\d{2} \d{4} \d{4}|\+86-\d{3}-\d{4}-\d{4})(?=\d+(?:位|个|条|件|年|张|名))"  # glued to the next sentence's number
+# Fixed-length numbers that are glued to a date or to the next sentence's count.
+_APART = r"(?:0\d{3}-\d{4} \d{4}|1\d{2} \d{4} \d{4}|\+86-\d{3}-\d{4}-\d{4}|\(0\d{3}\)\d{8}|1\d{10})(?=20\d\d-\d\d-\d\d|\d{1,5}(?:位|个|条|件|年|张|名))"
 _ABROAD = r"\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,5}"
 PHONE = re.compile(
-    rf"(?<![A-Za-z0-9_@.+/-])(?:{_APART}|(?:{_NANP}|{_CHINA}|{_BRITAIN}|{_FRANCE}|{_SPAIN}|{_GERMANY}|{_ABROAD})(?![A-Za-z0-9_@])(?![.,/-]\d))"
+    rf"(?<![A-Za-z0-9_@.+/-])(?:{_APART}|(?:{_NANP}|{_CHINA}|{_BRITAIN}|{_FRANCE}|{_SPAIN}|{_GERMANY}|{_ABROAD})(?![0-9_@])(?![A-WYZa-wyz](?![a-z])|[xX](?![a-z\d]))(?![.,/-]\d))"
 )
 
 _RESIDENT = r"\d{6}[ -]?(?:18|19|20)\d{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])[ -]?\d{3}[\dXx]"
@@ -92,7 +93,11 @@ def candidates(text: str, folded: str | None = None) -> list[tuple[int, int, str
     if "@" in f or "at" in f or "AT" in f:
         for m in EMAIL.finditer(f):
             local, domain = m[1], re.sub(_DOT, ".", m[2], flags=re.I)
-            out.append((m.start(), m.end(), "email", f"{local}@{domain}".lower()))
+            end = m.end()
+            if glued := _GLUED.search(m[2]):  # a sentence that begins right after the address
+                end -= len(m[2]) - glued.start(1)
+                domain = domain[: len(domain) - (len(m[2]) - glued.start(1))]
+            out.append((m.start(), end, "email", f"{local}@{domain}".lower()))
     if _DIGIT.search(f):
         for m in ID_NUMBER.finditer(f):
             if not _GOODS.search(f, max(0, m.start() - 24), m.start()):
@@ -110,6 +115,7 @@ def candidates(text: str, folded: str | None = None) -> list[tuple[int, int, str
     return out
 
 
+_GLUED = re.compile(r"[.\]) ][a-z]{2,}([A-Z][a-z]*)$")
 _DIGIT = re.compile(r"\d")
 
 

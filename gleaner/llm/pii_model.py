@@ -15,7 +15,7 @@ from gleaner.llm.pii_grammar import KINDS, fold
 
 LABELS = ["O", *[f"{p}-{k}" for k in KINDS for p in "BI"]]
 L = len(LABELS)
-WINDOW, OVERLAP = 192, 32
+WINDOW, OVERLAP = 320, 16
 WEIGHTS = Path(__file__).with_name("pii_weights.npz")
 
 
@@ -57,8 +57,8 @@ class Alphabet:
         return self.table[np.frombuffer(fold(text).encode("utf-32-le", "surrogatepass"), np.uint32)]
 
 
-def _sigmoid(x):
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+_TANH_STEP = 512
+_TANH = np.tanh((np.arange(8192) - 4096) / _TANH_STEP).astype(np.float32)
 
 
 class Model:
@@ -117,21 +117,68 @@ class Model:
                 saved.append((t, *before, i, f, g.copy(), o, tc))
         return out, saved
 
+    def _states(self, x: np.ndarray, d: str) -> np.ndarray:
+        """As _run, for decoding only: gates in arrays of their own, activations from a table (off by at most 0.002)."""
+        hid, n = self.hidden, x.shape[1]
+        scale = np.full(4 * hid, 0.5 * _TANH_STEP, np.float32)
+        scale[2 * hid : 3 * hid] = _TANH_STEP
+        table = (self.p["emb"] @ self.p[f"{d}_wx"] + self.p[f"{d}_b"]) * scale + (len(_TANH) / 2 + 0.5)
+        tables = [np.ascontiguousarray(table[:, k * hid : (k + 1) * hid], np.float32) for k in range(4)]
+        weights = [np.ascontiguousarray((self.p[f"{d}_wh"] * scale)[:, k * hid : (k + 1) * hid]) for k in range(4)]
+        gates = [np.empty((n, hid), np.float32) for _ in range(4)]
+        h, c = np.zeros((n, hid), np.float32), np.zeros((n, hid), np.float32)
+        near, place = np.empty((n, hid), np.float32), np.empty((n, hid), np.int32)
+        out = np.empty((x.shape[0], n, hid), np.float32)
+        for t in range(x.shape[0]) if d == "f" else range(x.shape[0] - 1, -1, -1):
+            for z, w, own in zip(gates, weights, tables):
+                np.matmul(h, w, out=z)
+                np.take(own, x[t], axis=0, out=near, mode="clip")
+                z += near
+                place[:] = z
+                np.take(_TANH, place, out=z, mode="clip")
+            i, f, g, o = gates
+            f += 1
+            f *= c
+            i += 1
+            i *= g
+            np.add(f, i, out=c)
+            c *= 0.5
+            np.multiply(c, _TANH_STEP, out=near)
+            near += len(_TANH) / 2 + 0.5
+            place[:] = near
+            np.take(_TANH, place, out=near, mode="clip")
+            o += 1
+            o *= 0.5
+            np.multiply(o, near, out=h)
+            out[t] = h
+        return out
+
     def emissions(self, x: np.ndarray) -> np.ndarray:
         """(T, N, L) for ids (T, N)."""
-        f, _ = self._run(x, "f", False)
-        b, _ = self._run(x, "b", False)
+        x = x.astype(np.int64)
+        f, b = self._states(x, "f"), self._states(x, "b")
         hid = self.hidden
         return f @ self.p["out"][:hid] + b @ self.p["out"][hid:] + self.p["bias"]
 
     def viterbi(self, e: np.ndarray) -> np.ndarray:
-        """Best labels (T, N)."""
+        """Best labels (T, N).
+
+        Windows for which no path can beat O throughout are told apart beforehand: a span of n
+        characters gains at most n times the best surplus over O and n + 1 <= 2 n transitions.
+        """
         trans = self.p["trans"] + self.mask
+        gain = max(0.0, float(trans.max() - trans[0, 0]), float(trans[L].max() - trans[L, 0]))
+        open_ = (e[:, :, 1:].max(2) - e[:, :, 0]).max(0) + 2 * gain >= 0
+        out = np.zeros(e.shape[:2], np.int8)
+        if open_.any():
+            out[:, open_] = self._viterbi(e[:, open_], trans)
+        return out
+
+    def _viterbi(self, e: np.ndarray, trans: np.ndarray) -> np.ndarray:
         steps, n, _ = e.shape
         back = np.empty((steps, n, L), np.int8)
         score = e[0] + trans[L]
         for t in range(1, steps):
-            # the best of O and of the few predecessors an I- can have is found over all labels
             s = score[:, :, None] + trans[:L][None]
             back[t] = s.argmax(1)
             score = np.take_along_axis(s, back[t][:, None, :].astype(np.int64), 1)[:, 0] + e[t]

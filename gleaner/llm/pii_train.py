@@ -72,6 +72,10 @@ Señora {person} vive en {address}.
 Llame al {phone} o escriba a {email}.
 DNI {id_number}, {person}.
 我叫{zh}，电话{phone}。
+（{id_number}，本人签收）
+有事找我 {phone}店里的灯还剩三盏。
+有事找我 {phone}The lamp works.
+他的号码是{id_number}。
 收件人：{zh}，{address}
 作者：{zh}
 {zh}先生住在{address}。
@@ -220,6 +224,8 @@ def batches(docs: list[tuple[str, list]], model: Model, width: int, n: int, seed
             else:
                 doc = r.choice(docs if j % 4 == 2 else people if j % 4 == 1 and people else full)
                 text, lab = _vary(*doc, make)
+                if j % 4 == 2 and make.r.random() < 0.1:  # shouting holds no more names than other text
+                    text = "".join(c.upper() if len(c.upper()) == 1 else c for c in text)
                 spots = np.flatnonzero(lab)
                 if j % 4 < 2 and len(spots):
                     start = int(r.choice(spots.tolist())) - r.randint(0, width - 1)
