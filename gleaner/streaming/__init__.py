@@ -1 +1 @@
-"""Streaming of the engine."""
+"""Streams of fetch jobs: ingest, deduplication, admission, rate limits, retries."""
