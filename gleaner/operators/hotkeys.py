@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.session import written
@@ -83,13 +83,9 @@ def _chunk_states(fields: list[str], chunk_rows: int, hot_rows: int):
     return combine
 
 
-MERGE = [
-    F.sum("n").alias("n"),
-    F.min("first_ts").alias("first_ts"),
-    F.max("last_ts").alias("last_ts"),
-    F.sum("value_sum").alias("value_sum"),
-    F.sum("value_n").alias("value_n"),
-]
+def _merged() -> list[Column]:
+    sums = [F.sum(c).alias(c) for c in ("n", "value_sum", "value_n")]
+    return [*sums, F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts")]
 
 
 def key_totals(
@@ -126,11 +122,11 @@ def key_totals(
         tree = (
             tree.withColumn("slot", F.floor(F.col("slot") / fan_in))
             .groupBy("field", "key_value", "slot")
-            .agg(*MERGE)
+            .agg(*_merged())
         )
     columns = ["field", "key_value", "n", "first_ts", "last_ts", "value_sum", "value_n"]
     parts = states.filter("NOT hot").select(columns).unionByName(tree.select(columns))
-    return parts.groupBy("field", "key_value").agg(*MERGE)
+    return parts.groupBy("field", "key_value").agg(*_merged())
 
 
 def frequent_keys(df: DataFrame, fields: list[str], at: str, value: str, share_percent: int = 1, **tree) -> DataFrame:
