@@ -52,8 +52,8 @@ def pair_counts(texts: DataFrame) -> DataFrame:
     return spread(texts).mapInArrow(scan, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
-def probable_pairs(counts: DataFrame, least: float) -> dict[int, float]:
-    """log p of each pair whose term of the mutual information is at least `least`.
+def probable_pairs(counts: DataFrame, least: float) -> tuple[dict[int, float], frozenset[int]]:
+    """log p of each pair whose term of the mutual information is at least `least`, and those that reach four times it.
 
     A pair of probability p has at most the term p * log(1 / p) (its characters can't be rarer
     than the pair), so fewer than about 16 / least pairs qualify: the bound of what is
@@ -72,17 +72,17 @@ def probable_pairs(counts: DataFrame, least: float) -> dict[int, float]:
         .withColumn("p", F.col("n") / total)
         .withColumn("term", F.col("p") * F.log(F.col("n") * total / (F.col("n_a") * F.col("n_b"))))
         .filter(F.col("term") >= least)
-        .select("pair", F.log("p").alias("logp"))
+        .select("pair", F.log("p").alias("logp"), (F.col("term") >= 4 * least).alias("common"))
     )
     few = terms.toPandas()
-    return dict(zip(few.pair.tolist(), few.logp.tolist()))
+    return dict(zip(few.pair.tolist(), few.logp.tolist())), frozenset(few.pair[few.common].tolist())
 
 
 class Restorer:
     """Finds and undoes wrong decodings, given the corpus' probable pairs."""
 
-    def __init__(self, logp: dict[int, float], floor: float):
-        self.logp, self.floor = logp, floor
+    def __init__(self, logp: dict[int, float], floor: float, common: frozenset[int]):
+        self.logp, self.floor, self.common = logp, floor, common
         self.known: dict[str, tuple[float, str, str, float] | None] = {}
         self.singles = {}
         for name in SINGLE:
@@ -104,10 +104,14 @@ class Restorer:
         ]
 
     def runs(self, text: str) -> list[tuple[int, int]]:
-        """Maximum-scoring segments of improbable pairs (+1 each, -1 for probable ones, -0.2 for ASCII), as character spans."""
+        """Maximum-scoring segments of pairs that aren't common (+1 each, -1 for common ones, -0.2 for ASCII), as character spans.
+
+        Damage that occurs often makes pairs that are probable, though hardly common: the higher
+        bar here lets them be tried.
+        """
         spans, best, start, total, at = [], 0.0, 0, 0.0, (0, 0)
-        for i, s in enumerate(self._scores(text)):
-            gain = -0.2 if s == 0.0 else 1.0 if s <= self.floor else -1.0
+        for i, (a, b) in enumerate(zip(text, text[1:])):
+            gain = -0.2 if a < "\x80" and b < "\x80" else -1.0 if ord(a) << 21 | ord(b) in self.common else 1.0
             if total <= 0:
                 if best > 0:
                     spans.append(at)
@@ -202,14 +206,15 @@ class Restorer:
             return self.known[key]
         best = None
         if not run.isascii():
-            before, _, _ = self._rate(run, left, right)
+            before, share, _ = self._rate(run, left, right)
+            few = sum(c > "\x7f" for c in run) < 3
             for back, how in self._undo(run):
                 after, share_after, pairs = self._rate(back, left, right)
                 if not pairs or share_after < 0.6 or after <= before + 2 + 0.5 * pairs:
                     continue
                 used, own = how.split(" ")[-1].split(">")[::-1]
-                if used in SINGLE and own in SINGLE and (_same(left, run[:1]) or _same(run[-1:], right)):
-                    continue  # damage between alphabets doesn't stop inside a word
+                if used in SINGLE and own in SINGLE and (_same(left, run[:1]) or _same(run[-1:], right) or (few and share > 0)):
+                    continue  # damage between alphabets doesn't stop inside a word; a letter alone must fit nowhere
                 gain = after - before - 8 * len(MARKS.findall(back))
                 if best is None or gain > best[0]:
                     best = gain, back, how, share_after
@@ -237,12 +242,12 @@ def damaged(tables: list[tuple[str, DataFrame]], least: float = 1e-4) -> DataFra
         part = df.select(F.lit(name).alias("tab"), F.col("rec_id").cast("bigint").alias("rec_id"), "title").filter("title <> ''")
         rows = part if rows is None else rows.unionByName(part)
     counts = written(pair_counts(rows.select("title")), "pairs")  # read several times below
-    logp = probable_pairs(counts, least)
+    pairs = probable_pairs(counts, least)
     floor = math.log(least) - 4
-    shared = spark.sparkContext.broadcast(logp)
+    shared = spark.sparkContext.broadcast(pairs)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(shared.value, floor)
+        restorer = Restorer(shared.value[0], floor, shared.value[1])
         for batch in batches:
             keep, restored, undone = [], [], []
             for i, text in enumerate(batch.column(2).to_pylist()):

@@ -144,4 +144,11 @@ def name_at(text: str, start: int, end: int) -> tuple[int, int, str] | None:
     value = m[0]
     if text[start + m.end() : start + m.end() + 1] == "." and re.search(r" [A-Z]$", value):
         value += "."
-    return start + m.start(), start + m.start() + len(value), value
+    a, b = start + m.start(), start + m.start() + len(value)
+    if value.isupper() and (_SHOUT_BEFORE.search(text, max(0, a - 30), a) or _SHOUT_AFTER.match(text, b)):
+        return None  # words of a text in capitals
+    return a, b, value
+
+
+_SHOUT_BEFORE = re.compile(r"[A-ZÀ-Þ]{3,},? +$")
+_SHOUT_AFTER = re.compile(r",? +[A-ZÀ-Þ]{2,}\b(?! *[:=\d])")

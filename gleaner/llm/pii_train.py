@@ -49,6 +49,10 @@ My name is {person} and I live at {address}.
 Please call {person} on {phone} before noon.
 {person} can be reached at {email} or {phone}.
 — {person}
+Seller: {person} Compared with the older lamp, this one is light.
+<p>Seller: {person} The page moved on Tuesday.
+Contact : {person}. La lampe coûte 30 euros.
+Firmado por {person}. La lámpara cuesta 30 euros.
 From: {person} <{email}>
 Mr. {person} left a message.
 Dear {person}, your parcel has arrived.

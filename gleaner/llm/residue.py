@@ -182,6 +182,7 @@ add your text
 replace this paragraph
 with your own words
 this is dummy copy
+content coming soon
 dummy text
 placeholder text goes
 sample description for
@@ -280,6 +281,13 @@ _HTML_TAGS = frozenset("HTML HEAD BODY TITLE META LINK SCRIPT STYLE DIV SPAN TAB
 # the same short word or pair of words, or the same clause, over and over
 REPEATED = re.compile(r"\b(\w{2,6}(?: \w{2,6})?)(?: \1\b){3,}|([一-鿿，]{4,14})\2{2,}")
 _NEW_PAGE = re.compile(r"^\s*(?:new page|page title|新建网页|untitled|无标题)\b[\s\d]*(?:-|$)", re.I)
+# a stack trace, line by line
+_TRACE = re.compile(
+    r"(?<![\w$])(?:[\w$]{1,60}\.){1,8}[\w$]{0,60}(?:Exception|Error)\b(?:: [^\n]{0,200})?"
+    r"|\bat (?:[\w$]{1,60}\.){1,8}[\w$<>]{1,60}\([\w.]{1,80}(?::\d+)?\)"
+)
+# Titles that are nothing but the name of an error page.
+_TITLES = frozenset("error|errors|oops|404|403|500|502|503|错误|出错|出错了|提示|提示信息|系统提示|温馨提示|fehler|erreur|ошибка|エラー|error 404|page error".split("|"))
 _TAG = re.compile(r"</?[a-zA-Z][^<>]{0,200}>")
 _QUOTED = re.compile(r"“[^”]{0,80}”|‘[^’]{2,80}’(?!\w)|(?<!\w)'[^'\n]{2,80}'(?!\w)|「[^」]{0,80}」|\"[^\"\n]{2,80}\"")
 _SENTENCE = re.compile(r"[^。！？!?\n.…]*(?:[。！？!?\n…]+|\.(?=\s|$)|\.(?=\S)|$)")
@@ -327,7 +335,11 @@ class Finder:
                     return "placeholder"
         if any(kind == "filler" and not explained(a) for a, _, kind in hits) or REPEATED.search(folded) or _NEW_PAGE.search(text):
             return "filler"
+        if folded.strip(" \t\n!.…！。") in _TITLES:
+            return "notice"
         spans = [(a, b, kind) for a, b, kind in hits if kind != "about"]
+        if "Exception" in text or "Error" in text:
+            spans += [(*m.span(), "notice") for m in _TRACE.finditer(text)]
         if any(kind == "notice" for _, _, kind in spans) and self._covered(text, spans):
             return "notice"
         return None
