@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gleaner.plans import aggregates, base, content, filters, general, join_queries, ranking, stream_queries  # noqa: F401
+from gleaner.plans import aggregates, base, content, filters, general, join_queries, ranking, source_queries, stream_queries  # noqa: F401
 
 QUERIES = {**base.QUERIES, **general.QUERIES}
 ORACLE = {**base.ORACLE, **general.ORACLE}

@@ -200,3 +200,14 @@ def test_routes(spark, tmp_path):
     assert {r.id: (r.target, r.tries) for r in routed.collect()} == {1: ("result", 0), 2: ("request", 1), 3: ("result", 2), 4: ("result", 0), 5: ("request", 2)}
     jobs.write_routes(routed, 0, {"request": f"{tmp_path}/a", "result": f"{tmp_path}/b"})
     assert spark.read.parquet(f"{tmp_path}/a").count() == 2
+
+
+def test_registered_functions(spark):
+    from gleaner.functions.registry import register
+
+    assert "link_rows" in register(spark)
+    page = "<title>T</title><a href=\"/x\">a</a><img src=\"i.png\">"
+    spark.createDataFrame([(page, "http://a.example/"), (None, None)], "h string, u string").createOrReplaceTempView("pages_for_test")
+    assert [tuple(r) for r in spark.sql("SELECT page_title(h), size(page_links(h, u)) FROM pages_for_test").collect()] == [("T", 1), (None, 0)]
+    rows = spark.sql("SELECT l.link, l.kind FROM pages_for_test p, LATERAL link_rows(p.h, p.u) l").collect()
+    assert {tuple(r) for r in rows} == {("http://a.example/x", "a"), ("http://a.example/i.png", "img")}
