@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from gleaner.llm import pii_grammar as grammar
-from gleaner.llm.pii_model import WEIGHTS, Model
+from gleaner.llm.pii_model import Model
 from gleaner.session import spread
 
 
@@ -50,7 +50,7 @@ def redact(text: str, found: list[tuple[int, int, str, str]]) -> str:
     return "".join([*parts, text[at:]])
 
 
-def _each(batches: Iterator[pa.RecordBatch], weights: str, at_once: int):
+def _each(batches: Iterator[pa.RecordBatch], weights: str | None, at_once: int):
     """(ids, texts, findings) of slices of the record batches, by rising length to fill the windows evenly."""
     model = Model.load(weights)
     for batch in batches:
@@ -78,7 +78,7 @@ def _one_thread() -> None:
                 continue
 
 
-def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", weights: str = str(WEIGHTS), at_once: int = 256) -> DataFrame:
+def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", weights: str | None = None, at_once: int = 256) -> DataFrame:
     """id_col, kind, found_value: each distinct row once. Null and empty texts give none."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,7 +94,7 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", weights:
     return source.mapInArrow(scan, f"`{id_col}` {kind}, kind string, found_value string").distinct()
 
 
-def redacted(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", weights: str = str(WEIGHTS), at_once: int = 256) -> DataFrame:
+def redacted(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", weights: str | None = None, at_once: int = 256) -> DataFrame:
     """id_col and text_col with placeholders, one row per row of df; null texts stay null, all other text is kept."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

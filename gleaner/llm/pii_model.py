@@ -7,6 +7,8 @@ most context, and spans that meet at a seam become one.
 
 from __future__ import annotations
 
+import io
+import pkgutil
 from pathlib import Path
 
 import numpy as np
@@ -82,8 +84,10 @@ class Model:
         return cls(p, chars)
 
     @classmethod
-    def load(cls, at: Path | str = WEIGHTS) -> Model:
-        with np.load(at, allow_pickle=False) as z:
+    def load(cls, at: Path | str | None = None) -> Model:
+        """The model of a file, or the one that comes with the package (also where that is an archive)."""
+        source = at if at is not None else io.BytesIO(pkgutil.get_data(__package__, WEIGHTS.name))
+        with np.load(source, allow_pickle=False) as z:
             return cls({k: z[k] for k in z.files if k != "chars"}, str(z["chars"]))
 
     def save(self, at: Path | str = WEIGHTS) -> None:
