@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,22 @@ def build_session(app: str = "gleaner", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors' Python workers, once per application; Spark serves the file from the driver."""
+    context = spark.sparkContext
+    if getattr(context, "_gleaner_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    with tempfile.TemporaryDirectory() as at:
+        tree = Path(at, "tree", package.name)
+        shutil.copytree(package, tree, ignore=shutil.ignore_patterns("__pycache__"))
+        archive = shutil.make_archive(f"{at}/{package.name}-{uuid.uuid4().hex}", "zip", tree.parent)
+        kept = Path(tempfile.mkdtemp(prefix="gleaner-package-"), Path(archive).name)
+        shutil.move(archive, kept)
+    context.addPyFile(str(kept))
+    context._gleaner_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, or a new local one where that is unset (tests)."""
     at = spark.conf.get("spark.checkpoint.dir", None)
