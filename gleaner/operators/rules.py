@@ -14,7 +14,7 @@ STRICT_BOOK = LOOSE_BOOK + [("api", r"/api/"), ("sort", r"[?&](sort|order)="), (
 # Parameters that carry a result page's number or offset, by engine host label.
 PAGE_PARAMS = {"start": 10, "pn": 10, "first": 10, "page": 1, "pg": 1}
 # Query parameters of search pages by path.
-SEARCH_BOOK = [("/s", "q"), ("/search", "q"), ("/web", "query"), ("/baidu", "wd"), ("/s", "wd")]
+SEARCH_BOOK = [("/s", "q"), ("/search", "q"), ("/web", "query"), ("/find", "wd"), ("/s", "wd")]
 
 
 def filter_reason(url: Column, strict: bool = False, max_length: int = 1024, max_depth: int = 10, restricted: list[str] | None = None, black: list[str] | None = None) -> Column:

@@ -49,7 +49,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not at:
         at = spark.sparkContext.getCheckpointDir()
     if not at:
-        if not spark.sparkContext.master.startswith("local["):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="gleaner-")
         spark.sparkContext.setCheckpointDir(at)
