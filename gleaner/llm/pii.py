@@ -51,7 +51,7 @@ def redact(text: str, found: list[tuple[int, int, str, str]]) -> str:
 
 
 def _each(batches: Iterator[pa.RecordBatch], weights: str | None, at_once: int):
-    """(ids, texts, findings) of slices of the record batches, by rising length to fill the windows evenly."""
+    """(slice, its texts, what was found in each) of slices of the record batches."""
     model = Model.load(weights)
     for batch in batches:
         for start in range(0, batch.num_rows, at_once):

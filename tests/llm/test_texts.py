@@ -4,7 +4,6 @@ import random
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
 
 from gleaner.llm import leak, mojibake, residue, tokens
 
