@@ -164,6 +164,16 @@ class Restorer:
             return 0.0, 1.0, 0
         return sum(scores), sum(s > self.floor for s in scores) / len(scores), len(scores)
 
+    def _hopeless(self, text: str) -> bool:
+        """Whether too many pairs are improbable for a share of 0.6; stops at the first that settles it."""
+        logp, left = self.logp, 0.4 * (len(text) - 1)
+        for a, b in zip(text, text[1:]):
+            if (a > "\x7f" or b > "\x7f") and ord(a) << 21 | ord(b) not in logp:
+                left -= 1
+                if left < 0:
+                    return True
+        return False
+
     def restore(self, text: str | None) -> tuple[bool, str | None, str | None]:
         """Whether text is damaged, what it was (null if that can't be had) and the encodings undone."""
         if not text or text.isascii():
@@ -209,6 +219,8 @@ class Restorer:
             before, share, _ = self._rate(run, left, right)
             few = sum(c > "\x7f" for c in run) < 3
             for back, how in self._undo(run):
+                if self._hopeless(left + back + right):
+                    continue
                 after, share_after, pairs = self._rate(back, left, right)
                 if not pairs or share_after < 0.6 or after <= before + 2 + 0.5 * pairs:
                     continue
