@@ -8,6 +8,8 @@ renaming from a removal plus an addition.
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -182,38 +184,68 @@ def changes(batches: DataFrame, record_key: str = "rec_no") -> DataFrame:
     )
 
 
-def consistent_table(batches: DataFrame) -> DataFrame:
+def derived_aliases(batches: DataFrame, record_key: str = "rec_no") -> dict[str, list[str]]:
+    """Names of each quantity: those of ALIASES, then the others that `changes` finds renamed to or from one of its names.
+
+    Renamings are followed from name to name. A name that is renamed to or from names of several
+    quantities belongs to the one with more than half of its renamings, or to none.
+    """
+    rows = changes(batches, record_key).filter("change = 'renamed'").groupBy("old_name", "new_name").count().collect()
+    quantity = {n: q for q, (_, names) in ALIASES.items() for n in names}
+    listed = quantity.keys() | {record_key, "url"}
+    while True:
+        votes: dict[str, Counter] = defaultdict(Counter)
+        for r in rows:
+            for name, other in ((r.old_name, r.new_name), (r.new_name, r.old_name)):
+                if name not in listed and name not in quantity and other in quantity:
+                    votes[name][quantity[other]] += r["count"]
+        best = {n: v.most_common(1)[0] for n, v in votes.items()}
+        found = {n: q for n, (q, k) in best.items() if 2 * k > votes[n].total()}
+        if not found:
+            break
+        quantity |= found
+    return {q: [*names, *sorted(n for n, x in quantity.items() if x == q and n not in listed)] for q, (_, names) in ALIASES.items()}
+
+
+def consistent_table(batches: DataFrame, json: bool = False) -> DataFrame:
     """All readable records in one table: a column per quantity of the alias table, casts by it.
 
-    Times come in microseconds: ISO strings and seconds are converted. Scores sent as whole
-    numbers are ten-thousandths, durations sent as whole numbers milliseconds. Fields outside the
-    alias table stay, as JSON text, in the map `others`. A value that a cast can't take is null
-    and stays in `others` too. Repeated rows of raw_batches stay repeated.
+    Names outside the alias table that were renamed to or from a name in it go to its column
+    (`derived_aliases`). Times come in microseconds: ISO strings and seconds are converted. Scores
+    sent as whole numbers are ten-thousandths, durations sent as whole numbers milliseconds. All
+    other fields stay, as JSON text, in the map `others`, with `json` as one JSON object that keeps
+    their types, sorted by name. Repeated rows of raw_batches stay repeated.
     """
-    v = batches.withColumn("v", F.try_parse_json("payload")).filter(
-        F.col("v").isNotNull() & F.schema_of_variant("v").startswith("OBJECT")
-    )
-    known = {n for _, names in ALIASES.values() for n in names} | {"rec_no", "url"}
-    columns: list[Column] = []
-    for name, (kind, names) in ALIASES.items():
-        columns.append(F.coalesce(*[_cast(F.col("v"), n, name, kind) for n in names]).alias(name))
-    as_map = F.from_json(F.to_json("v"), "map<string,string>")
-    others = F.map_filter(as_map, lambda k, _: ~k.isin(*sorted(known)))
+    names = derived_aliases(batches)
+    v = (
+        batches.withColumn("v", F.try_parse_json("payload"))
+        .filter(F.col("v").isNotNull() & F.schema_of_variant("v").startswith("OBJECT"))
+        .withColumn("fields", F.from_json(F.to_json("v"), "map<string,variant>"))
+    )
+    casts = {q: {n: _cast(n, q, kind) for n in names[q]} for q, (kind, _) in ALIASES.items()}
+    casts |= {"rec_no": {"rec_no": _text("rec_no").try_cast("bigint")}, "url": {"url": _text("url")}}
+    known = sorted({n for of in casts.values() for n in of})
+    if json:
+        others = F.to_json(F.map_filter("fields", lambda k, _: ~k.isin(*known)))
+    else:
+        others = F.map_filter(F.from_json(F.to_json("v"), "map<string,string>"), lambda k, _: ~k.isin(*known))
     return v.select(
         "raw_id",
         "feed",
         "batch_no",
-        F.try_variant_get("v", "$.rec_no", "bigint").alias("rec_no"),
-        F.try_variant_get("v", "$.url", "string").alias("url"),
-        *columns,
+        *[F.coalesce(*casts[q].values()).alias(q) for q in ("rec_no", "url", *ALIASES)],
         others.alias("others"),
     )
 
 
-def _cast(v: Column, field: str, quantity: str, kind: str) -> Column:
+def _text(field: str) -> Column:
+    return F.try_variant_get(F.try_element_at("fields", F.lit(field)), "$", "string")
+
+
+def _cast(field: str, quantity: str, kind: str) -> Column:
     """The cast of one field by the type in which it came."""
-    raw = F.try_variant_get(v, f"$['{field}']", "string")
-    came = _kind(F.schema_of_variant(F.try_variant_get(v, f"$['{field}']", "variant")))
+    raw = _text(field)
+    came = _kind(F.schema_of_variant(F.try_element_at("fields", F.lit(field))))
     number = raw.try_cast("double")
     if quantity in ("crawl_timestamp", "file_time"):
         iso = F.unix_micros(F.to_utc_timestamp(raw.try_cast("timestamp"), "UTC"))

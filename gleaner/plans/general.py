@@ -36,7 +36,7 @@ def p5_lifespans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.consistent_table(table(spark, sf_dir, "raw_batches")).drop("others")
+    return drift.consistent_table(table(spark, sf_dir, "raw_batches"), json=True)
 
 
 QUERIES = {
