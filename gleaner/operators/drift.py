@@ -212,9 +212,12 @@ def consistent_table(batches: DataFrame, json: bool = False) -> DataFrame:
 
     Names outside the alias table that were renamed to or from a name in it go to its column
     (`derived_aliases`). Times come in microseconds: ISO strings and seconds are converted. Scores
-    sent as whole numbers are ten-thousandths, durations sent as whole numbers milliseconds. All
-    other fields stay, as JSON text, in the map `others`, with `json` as one JSON object that keeps
-    their types, sorted by name. Repeated rows of raw_batches stay repeated.
+    sent as whole numbers are ten-thousandths, durations sent as whole numbers milliseconds;
+    durations as text may end in s, signatures as text may be hexadecimal. All other fields stay, as
+    JSON text, in the map `others`, with `json` as one JSON object that keeps their types, sorted by
+    name. A value that its cast can't take, or that differs from the one in its column because the
+    record has the quantity under two names, stays in `others` too. Repeated rows of raw_batches
+    stay repeated.
     """
     names = derived_aliases(batches)
     v = (
@@ -222,30 +225,26 @@ def consistent_table(batches: DataFrame, json: bool = False) -> DataFrame:
         .filter(F.col("v").isNotNull() & F.schema_of_variant("v").startswith("OBJECT"))
         .withColumn("fields", F.from_json(F.to_json("v"), "map<string,variant>"))
     )
-    casts = {q: {n: _cast(n, q, kind) for n in names[q]} for q, (kind, _) in ALIASES.items()}
-    casts |= {"rec_no": {"rec_no": _text("rec_no").try_cast("bigint")}, "url": {"url": _text("url")}}
-    known = sorted({n for of in casts.values() for n in of})
-    if json:
-        others = F.to_json(F.map_filter("fields", lambda k, _: ~k.isin(*known)))
-    else:
-        others = F.map_filter(F.from_json(F.to_json("v"), "map<string,string>"), lambda k, _: ~k.isin(*known))
-    return v.select(
-        "raw_id",
-        "feed",
-        "batch_no",
-        *[F.coalesce(*casts[q].values()).alias(q) for q in ("rec_no", "url", *ALIASES)],
-        others.alias("others"),
-    )
-
-
-def _text(field: str) -> Column:
-    return F.try_variant_get(F.try_element_at("fields", F.lit(field)), "$", "string")
-
-
-def _cast(field: str, quantity: str, kind: str) -> Column:
-    """The cast of one field by the type in which it came."""
-    raw = _text(field)
-    came = _kind(F.schema_of_variant(F.try_element_at("fields", F.lit(field))))
+    names = {"rec_no": ["rec_no"], "url": ["url"], **names}
+    known = [(n, q) for q, of in names.items() for n in of]
+    at = {n: i for i, (n, _) in enumerate(known)}
+    # One step each for values, texts and types, casts, columns: every expression is evaluated once.
+    v = v.select("*", *[F.try_element_at("fields", F.lit(n)).alias(f"_v{i}") for n, i in at.items()])
+    texts = [F.try_variant_get(f"_v{i}", "$", "string").alias(f"_t{i}") for i in at.values()]
+    v = v.select("*", *texts, *[_kind(F.schema_of_variant(f"_v{i}")).alias(f"_k{i}") for i in at.values()])
+    kinds = {"rec_no": "bigint", "url": "string", **{q: kind for q, (kind, _) in ALIASES.items()}}
+    v = v.select("*", *[_cast(F.col(f"_t{at[n]}"), F.col(f"_k{at[n]}"), q, kinds[q]).alias(f"_c{at[n]}") for n, q in known])
+    v = v.select("*", *[F.coalesce(*[F.col(f"_c{at[n]}") for n in of]).alias(q) for q, of in names.items()])
+    # A field needs no place in others if it is JSON null or its column holds its value.
+    taken = [F.when(F.col(f"_t{at[n]}").isNull() | (F.col(f"_c{at[n]}") == F.col(q)), n) for n, q in known]
+    everything = F.col("fields") if json else F.from_json(F.to_json("v"), "map<string,string>")
+    v = v.withColumn("_taken", F.array_compact(F.array(*taken)))
+    others = F.map_filter(everything, lambda k, _: ~F.array_contains("_taken", k))
+    return v.select("raw_id", "feed", "batch_no", *names, (F.to_json(others) if json else others).alias("others"))
+
+
+def _cast(raw: Column, came: Column, quantity: str, kind: str) -> Column:
+    """The cast of one field's text by the type in which it came."""
     number = raw.try_cast("double")
     if quantity in ("crawl_timestamp", "file_time"):
         iso = F.unix_micros(F.to_utc_timestamp(raw.try_cast("timestamp"), "UTC"))
@@ -254,10 +253,18 @@ def _cast(field: str, quantity: str, kind: str) -> Column:
     if quantity == "score":
         return F.when(came == "whole", number / 10000).otherwise(number)
     if quantity in ("crawl_time", "dns_time"):
-        return F.when(came == "whole", number / 1000).otherwise(number)
+        seconds = F.regexp_extract(raw, r"^\s*([0-9.]+)\s*s$", 1).try_cast("double")
+        return F.when(came == "whole", number / 1000).otherwise(F.coalesce(number, seconds))
     if quantity == "is_truncated":
         return F.when(raw.isin("true", "1"), True).when(raw.isin("false", "0"), False)
     if quantity == "content_type":
         listed = F.array_join(F.from_json(raw, "array<string>"), "; ")
         return F.when(came == "list", listed).otherwise(raw)
+    if quantity == "simhash":
+        # As text: 15 or 16 digits are hexadecimal with leading zeros, in decimals all but 1 % of signatures have more.
+        padded = raw.rlike("^[0-9A-Fa-f]{15,16}$")
+        hexadecimal = F.when(raw.rlike("^[0-9A-Fa-f]{1,16}$"), F.conv(raw, 16, -10).try_cast(kind))
+        return F.when((came == "string") & padded, hexadecimal).otherwise(
+            F.coalesce(raw.try_cast(kind), F.when(came == "string", hexadecimal))
+        )
     return raw.try_cast(kind)

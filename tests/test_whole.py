@@ -31,3 +31,24 @@ def test_alias_of_two_quantities_goes_with_the_majority(spark):
     derived = drift.derived_aliases(batches(spark, files))
     assert "w" in derived["score"] and "w" not in derived["dns_time"]
     assert all("x" not in of for of in derived.values())
+
+
+def test_consistent_table_keeps_values_that_casts_refuse(spark):
+    records = [
+        {"rec_no": 1, "crawl_time": "4.331s", "simhash": "0c3900b5f529080", "dns_time": None},
+        {"rec_no": 2, "fetch_seconds": "soon", "page_sig": "ff00000000000000", "score": "0.5"},
+        {"rec_no": "x", "response_code": "4o4", "http_code": 200, "header_size": 5.5, "simhash": "-9"},
+        {"rec_no": 4, "simhash": "1234567890123456789", "link_score": 0.25, "page_score": 0.75, "score": 0.25},
+        {"rec_no": 5, "simhash": "not one", "crawl_time": "1.2.3s", "is_truncated": "maybe"},
+    ]
+    got = drift.consistent_table(batches(spark, {("f", 1): records})).orderBy("raw_id").collect()
+    assert [r.crawl_time for r in got] == [4.331, None, None, None, None]
+    assert [r.simhash for r in got] == [0x0C3900B5F529080, 0xFF00000000000000 - 2**64, -9, 1234567890123456789, None]
+    assert [(r.response_code, r.score, r.rec_no) for r in got[1:4]] == [(None, 0.5, 2), (200, None, None), (None, 0.25, 4)]
+    assert [r.others for r in got] == [
+        {},
+        {"fetch_seconds": "soon"},
+        {"rec_no": "x", "response_code": "4o4", "header_size": "5.5"},
+        {"page_score": "0.75"},
+        {"simhash": "not one", "crawl_time": "1.2.3s", "is_truncated": "maybe"},
+    ]
