@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -45,8 +46,8 @@ def filter_reason(url: Column, strict: bool = False, max_length: int = 1024, max
     return F.when(url.isNull(), "null").otherwise(out)
 
 
-def search_query(url: Column) -> Column:
-    """The query of a search page, decoded, lower-case, single spaces; null if the url is none."""
+def _search_value(url: Column) -> Column:
+    """The query of a search page as it stands in the url, stray percent signs escaped; null if the url is none."""
     p = urls.path(url)
     u = F.regexp_replace(url, r"^(https?://[^/]*/)#", "$1?")
     hit = None
@@ -54,11 +55,40 @@ def search_query(url: Column) -> Column:
         value = urls.query_param(u, param)
         cond = (p == path) & (value != "")
         hit = F.when(cond, value) if hit is None else hit.when(cond, value)
-    decoded = F.try_url_decode(F.regexp_replace(hit, r"%(?![0-9A-Fa-f]{2})", "%25"))
-    plain = F.trim(F.regexp_replace(F.lower(decoded), r"\s+", " "))
+    return F.regexp_replace(hit, r"%(?![0-9A-Fa-f]{2})", "%25")
+
+
+def _plain(query: Column) -> Column:
+    plain = F.trim(F.regexp_replace(F.lower(query), r"\s+", " "))
     return F.when(plain != "", plain)
 
 
+def search_query(url: Column) -> Column:
+    """The query of a search page, decoded as UTF-8, lower-case, single spaces; null if the url is none."""
+    return _plain(F.try_url_decode(_search_value(url)))
+
+
+def search_query_text(url: Column) -> Column:
+    """As search_query, where escapes that are no UTF-8 are read as GB18030 (GBK), in Python for these only."""
+
+    @F.pandas_udf("string")
+    def gb18030(raw: pd.Series) -> pd.Series:
+        def text(b: bytes | None) -> str | None:
+            try:
+                return b if b is None else b.decode("gb18030")
+            except UnicodeDecodeError:
+                return None
+
+        return raw.map(text)
+
+    value = F.replace(_search_value(url), F.lit("+"), F.lit(" "))
+    parts = F.regexp_extract_all(value, F.lit("%[0-9A-Fa-f]{2}|[^%]+"), F.lit(0))
+    digits = F.transform(parts, lambda t: F.when(t.startswith("%"), F.substring(t, 2, 2)).otherwise(F.hex(F.encode(t, "UTF-8"))))
+    raw = F.unhex(F.array_join(digits, ""))
+    utf8 = F.try_validate_utf8(raw.cast("string"))
+    return _plain(F.coalesce(utf8, gb18030(F.when(utf8.isNull(), raw)), F.try_url_decode(_search_value(url))))
+
+
 def within_pages(url: Column, n: int) -> Column:
     """Whether a search page is among the first n: an absent or empty page parameter passes."""
     ok = F.lit(True)

@@ -184,9 +184,15 @@ def r111_except(spark, d):
 WHERE regexp_matches(x, '^[A-Za-z0-9+]+$')"""
 )
 def r112_search_query(spark, d):
-    """Queries of search pages; those of plain letters are compared with SQL, the decoding of others is tested apart."""
-    n = table(spark, d, "new_url").withColumn("query", rules.search_query(F.col("clicked_url")))
-    return n.filter("query IS NOT NULL AND query RLIKE '^[a-z0-9 ]+$'").select("new_id", "query")
+    """Of r112_search_query_all the queries of plain letters, which the SQL can follow."""
+    return r112_search_query_all(spark, d).filter("query RLIKE '^[a-z0-9 ]+$'")
+
+
+@query()
+def r112_search_query_all(spark, d):
+    """Queries of search pages, decoded."""
+    n = table(spark, d, "new_url").filter(rules.search_query(F.col("clicked_url")).isNotNull())
+    return n.select("new_id", rules.search_query_text(F.col("clicked_url")).alias("query")).filter("query IS NOT NULL")
 
 
 @query(f"SELECT new_id FROM new_url WHERE {_SEARCHED.format('referer')} AND NOT {_SEARCHED.format('clicked_url')}")

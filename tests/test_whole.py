@@ -1,9 +1,10 @@
 """Operators on rows that their SQL or their first form left out."""
 
 import json
+from urllib.parse import quote_plus
 
 from gleaner.operators import drift
-from gleaner.plans import general
+from gleaner.plans import filters, general
 from test_general import batches
 
 
@@ -52,3 +53,12 @@ def test_consistent_table_keeps_values_that_casts_refuse(spark):
         {"page_score": "0.75"},
         {"simhash": "not one", "crawl_time": "1.2.3s", "is_truncated": "maybe"},
     ]
+
+
+def test_search_queries_of_all_scripts(spark, tmp_path):
+    words = ["水杯", "café crème", "ночной автобус", "night bus 7", "50% off", "a&b=c#d", "C++", "   ", "ナイト"]
+    links = [f"http://e.example/s?x=1&q={quote_plus(w)}" for w in words] + ["http://e.example/x?q=a", None, "", "http://e.example/s?q=%CB%AE%B1%AD+A", "http://e.example/s?q=100%"]
+    n = spark.createDataFrame(list(enumerate(links)), "new_id bigint, clicked_url string")
+    n.write.parquet(str(tmp_path / "new_url.parquet"))
+    got = {r.new_id: r.query for r in filters.r112_search_query_all(spark, str(tmp_path)).collect()}
+    assert got == {i: w.lower() for i, w in enumerate(words) if w.strip()} | {len(words) + 3: "水杯 a", len(words) + 4: "100%"}
