@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gleaner.functions import urls
 from gleaner.operators import joins, matching
 from gleaner.plans.base import HASH_SQL, PV, SEARCH, host_sql, pv_log, query, search_log
+from gleaner.session import written
 from gleaner.sources import table
 
 _DICT = "d AS (SELECT md5(clicked_url) AS m, arg_max(clicked_url, (dump_ts, sign)) AS url FROM crawl_status WHERE clicked_url IS NOT NULL GROUP BY 1)"
@@ -182,6 +183,18 @@ def r057_host_to_ip(spark, d):
     return n.join(joins.small(book, 200_000), "host").select("new_id", F.element_at("ips", at.cast("int")).alias("ip"))
 
 
+@query()
+def r057_host_to_ip_all(spark, d):
+    """As r057_host_to_ip, one of all the host's addresses: they are numbered in order, the url's hash picks a number."""
+    per = table(spark, d, "crawl_job").filter("ip <> ''").select(urls.host(F.col("url")).alias("host"), "ip").distinct()
+    book = written(per.filter("host IS NOT NULL").withColumn("at", F.row_number().over(Window.partitionBy("host").orderBy("ip"))), "addresses")
+    sizes = book.groupBy("host").agg(F.max("at").alias("size"))
+    n = table(spark, d, "new_url").select("new_id", "clicked_url", urls.host(F.col("clicked_url")).alias("host"))
+    at = F.pmod(F.conv(F.substr(F.md5("clicked_url"), F.lit(1), F.lit(8)), 16, 10).cast("bigint"), F.col("size")) + 1
+    picked = n.join(joins.small(sizes, 200_000), "host").select("new_id", "host", at.cast("int").alias("at"))
+    return picked.join(book.hint("merge"), ["host", "at"]).select("new_id", "ip")
+
+
 @query(
     f"SELECT j.job_id, a.n FROM crawl_job j LEFT JOIN (SELECT host, count(*) AS n FROM archive_data WHERE host IS NOT NULL GROUP BY host) a ON {host_sql('j.url')} = a.host"
 )

@@ -1,10 +1,11 @@
 """Operators on rows that their SQL or their first form left out."""
 
+import hashlib
 import json
 from urllib.parse import quote_plus
 
 from gleaner.operators import drift
-from gleaner.plans import filters, general
+from gleaner.plans import filters, general, join_queries
 from test_general import batches
 
 
@@ -62,3 +63,19 @@ def test_search_queries_of_all_scripts(spark, tmp_path):
     n.write.parquet(str(tmp_path / "new_url.parquet"))
     got = {r.new_id: r.query for r in filters.r112_search_query_all(spark, str(tmp_path)).collect()}
     assert got == {i: w.lower() for i, w in enumerate(words) if w.strip()} | {len(words) + 3: "水杯 a", len(words) + 4: "100%"}
+
+
+def test_every_address_of_a_host_can_be_chosen(spark, tmp_path):
+    jobs = [(f"http://{h}.example/{i}", f"10.0.0.{i % n}") for h, n in (("a", 40), ("b", 3)) for i in range(80)]
+    jobs += [("http://c.example/", ""), ("http://d.example/", None), (None, "10.9.9.9"), ("", "10.9.9.8")]
+    links = [f"http://{h}.example/p{i}" for h in "abcd" for i in range(400)] + [None, "", "x"]
+    spark.createDataFrame(jobs, "url string, ip string").write.parquet(str(tmp_path / "crawl_job.parquet"))
+    spark.createDataFrame(list(enumerate(links)), "new_id bigint, clicked_url string").write.parquet(str(tmp_path / "new_url.parquet"))
+    book = {h: sorted({ip for u, ip in jobs if ip and u and u.startswith(f"http://{h}.")}) for h in "ab"}
+    want = {}
+    for i, u in enumerate(links[:800]):
+        ips = book[u[7]]
+        want[i] = ips[int(hashlib.md5(u.encode()).hexdigest()[:8], 16) % len(ips)]
+    got = [r for r in join_queries.r057_host_to_ip_all(spark, str(tmp_path)).collect() if r.new_id < 1600]
+    assert len(got) == 800 and {r.new_id: r.ip for r in got} == want
+    assert set(want.values()) == {f"10.0.0.{i}" for i in range(40)}
