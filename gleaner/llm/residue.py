@@ -260,19 +260,19 @@ lorem and ipsum
 filler text comes
 """
 
-_NAME = r"[A-Za-z_$][\w$.:-]*"
+# From the opening to the closing mark, whatever the length between them.
 PLACEHOLDER = re.compile(
-    rf"""
-      \{{\{{\{{?\s*[#/&>!^]?\s*{_NAME}[^{{}}]{{0,40}}\}}\}} | \{{\{{\s*\}}\}}     # mustache
-    | [$\#]\{{\s*{_NAME}[^{{}}]{{0,40}}\}} | \{{\${_NAME}[^{{}}]{{0,40}}\}}       # dollar, hash, smarty
-    | \{{%-?\s*\w+[^{{}}%]{{0,60}}-?%\}}                                            # block tags
-    | <%[=\-\#]?\s*[^<>%]{{1,60}}%> | <\?(?:php|=)[^<>]{{0,80}}\?>                  # server pages
-    | \[\[\s*[\w.]+\s*\]\] | \*\|[\w:.]+\|\* | @@[\w.-]{{2,}}@@                     # wiki, mail, build
-    | (?<![\w_])__[A-Za-z][A-Za-z0-9_]*?__(?![A-Za-z0-9]) | %[A-Z][A-Z_]{{2,}}%     # underscores, percent
-    | \{{\s*(?:\d{{1,2}}|[A-Za-z_][\w.]*)\s*\}}                                     # format strings
-    | <(?!/)[A-Z][A-Z_-]{{2,}}>                                                     # angle brackets
-    | \[(?i:insert|your|enter|company|product|city|first|last|user|shop|price|title|name|date)\b[^\[\]\n]{{0,30}}\]
-    | \[(?:插入|填写|输入|请|您的|商品|店铺|用户|城市|标题|价格|公司|品牌|姓名|日期)[^\[\]\n]{{0,10}}\]
+    r"""
+      \{\{\{?\s*[#/&>!^]?\s*[A-Za-z_$][^{}]*\}\} | \{\{\s*\}\}                 # mustache
+    | [$\#]\{\s*[A-Za-z_$][^{}]*\} | \{\$[A-Za-z_$][^{}]*\}                   # dollar, hash, smarty
+    | \{%-?\s*\w(?s:(?!%\}|\{%).)*%\}                                        # block tags
+    | <%(?s:(?!%>|<%).)+%> | <\?(?:php|=)(?s:(?!\?>|<\?).)*\?>                 # server pages
+    | \[\[\s*[\w.]+\s*\]\] | \*\|[\w:.]+\|\* | @@[\w.-]{2,}@@                     # wiki, mail, build
+    | (?<![A-Za-z0-9_])__[A-Za-z][A-Za-z0-9_]*?__(?![A-Za-z0-9]) | %[A-Z][A-Z_]{2,}%     # underscores, percent
+    | \{\s*(?:\d{1,2}|[A-Za-z_][\w.]*)\s*\}                                     # format strings
+    | <(?!/)[A-Z][A-Z_-]{2,}>                                                     # angle brackets
+    | \[(?i:insert|your|enter|company|product|city|first|last|user|shop|price|title|name|date)\b[^\[\]\n]{0,30}\]
+    | \[(?:插入|填写|输入|请|您的|商品|店铺|用户|城市|标题|价格|公司|品牌|姓名|日期)[^\[\]\n]{0,10}\]
     """,
     re.X,
 )

@@ -4,6 +4,7 @@ import hashlib
 import json
 from urllib.parse import quote_plus
 
+from gleaner.llm import residue
 from gleaner.operators import drift
 from gleaner.plans import filters, general, join_queries
 from test_general import batches
@@ -79,3 +80,20 @@ def test_every_address_of_a_host_can_be_chosen(spark, tmp_path):
     got = [r for r in join_queries.r057_host_to_ip_all(spark, str(tmp_path)).collect() if r.new_id < 1600]
     assert len(got) == 800 and {r.new_id: r.ip for r in got} == want
     assert set(want.values()) == {f"10.0.0.{i}" for i in range(40)}
+
+
+def test_placeholders_after_any_script_and_of_any_length():
+    why = residue.Finder().why
+    name = "a_rather_long_name_of_a_value." * 5
+    for text in (
+        "本页由__PRICE__提供",
+        "ночь__TITLE__",
+        f"Dear {{{{ user | default('{name}') }}}}, hello",
+        f"Dear ${{{name} + {name}}}",
+        "{{% if a > b and {} %}}".format(name),
+        f"<% if (a > b) {{ print('{name}') }} %>",
+        f"von <?php echo $row->title . '{name}' ?> bis",
+    ):
+        assert why(text) == "placeholder", text
+    for text in ("snake__case__name", "a {{ b", "5 <% of it", "50 % of <b>all</b> 5 %"):
+        assert why(text) is None, text
