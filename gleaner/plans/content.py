@@ -114,13 +114,22 @@ def r042_robots_admission(spark, d):
     f"""SELECT archive_id, 'http://' || host || x AS link FROM (SELECT archive_id, {host_sql('url')} || coalesce(':' || nullif(regexp_extract(url, '^[a-z]+://[^/:]*:([0-9]+)', 1), ''), '') AS host, url, unnest(['', '/list?p=1']) AS x FROM archive_data WHERE url LIKE 'http://%')"""
 )
 def r130_links(spark, d):
-    """Absolute links of each page in document order, exploded."""
+    """Of r130_links_all the links of pages whose url begins with http://, which the SQL can follow."""
+    return _page_links(_pages(spark, d).filter("url LIKE 'http://%'"))
 
+
+@query()
+def r130_links_all(spark, d):
+    """Absolute links of each page in document order, exploded; their scheme is that of the page's url."""
+    return _page_links(_pages(spark, d))
+
+
+def _page_links(pages):
     @F.pandas_udf("array<string>")
     def found(body: pd.Series, base: pd.Series) -> pd.Series:
         return pd.Series([html.links(b, u) if b and u else [] for b, u in zip(body, base)])
 
-    p = spread(_pages(spark, d).filter("url LIKE 'http://%'").select("archive_id", "url", "html"))
+    p = spread(pages.select("archive_id", "url", "html"))
     return p.select("archive_id", F.explode(found("html", "url")).alias("link"))
 
 

@@ -71,14 +71,27 @@ def r116_plain_targets(spark, d):
 AND NOT regexp_matches(lower(referer), '\\.(exe|zip|rar|iso|apk)$') AND regexp_extract({host_sql('referer')}, '([^.]+\\.[^.]+)$', 1) <> regexp_extract({host_sql('clicked_url')}, '([^.]+\\.[^.]+)$', 1)"""
 )
 def r129_foreign_anchors(spark, d):
+    """Of r129_foreign_anchors_all the referers without characters that the SQL can't follow."""
+    n = table(spark, d, "new_url").filter(~F.col("referer").rlike(r'[ &<>"\t\n]'))
+    return _foreign_anchors(n)
+
+
+@query()
+def r129_foreign_anchors_all(spark, d):
     """Anchors of a page that lead to another domain than its own."""
+    return _foreign_anchors(table(spark, d, "new_url"))
+
 
+def _foreign_anchors(new_urls):
     @F.pandas_udf("array<string>")
     def found(body: pd.Series, base: pd.Series) -> pd.Series:
         return pd.Series([html.links(b, u) for b, u in zip(body, base)])
 
-    n = table(spark, d, "new_url").filter("referer LIKE 'http%' AND clicked_url LIKE 'http%'").filter(~F.col("referer").rlike(r'[ &<>"\t\n]'))
-    body = F.concat(F.lit("<a href='/own'>o</a><a href='"), "referer", F.lit("'>r</a>"))
+    n = new_urls.filter("referer LIKE 'http%' AND clicked_url LIKE 'http%'")
+    escaped = F.col("referer")
+    for c, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("'", "&#39;"), ('"', "&quot;")):
+        escaped = F.replace(escaped, F.lit(c), F.lit(entity))
+    body = F.concat(F.lit("<a href='/own'>o</a><a href='"), escaped, F.lit("'>r</a>"))
     pages = spread(n.select("new_id", "clicked_url", body.alias("html")))
     links = pages.select("new_id", "clicked_url", F.explode(found("html", "clicked_url")).alias("link"))
     last_two = lambda u: F.regexp_extract(urls.host(u), r"([^.]+\.[^.]+)$", 1)

@@ -6,7 +6,7 @@ from urllib.parse import quote_plus
 
 from gleaner.llm import residue
 from gleaner.operators import drift
-from gleaner.plans import filters, general, join_queries
+from gleaner.plans import content, filters, general, join_queries, source_queries
 from test_general import batches
 
 
@@ -97,3 +97,20 @@ def test_placeholders_after_any_script_and_of_any_length():
         assert why(text) == "placeholder", text
     for text in ("snake__case__name", "a {{ b", "5 <% of it", "50 % of <b>all</b> 5 %"):
         assert why(text) is None, text
+
+
+def test_links_of_pages_of_any_scheme(spark, tmp_path):
+    pages = ["http://a.example/x", "https://b.example:8443/y?z=1", "HTTPS://c.example/", "", None, "ftp://d.example/"]
+    rows = [(i, u, "h", "t", "text") for i, u in enumerate(pages)]
+    spark.createDataFrame(rows, "archive_id bigint, url string, host string, title string, cdoc string").write.parquet(str(tmp_path / "archive_data.parquet"))
+    got = [tuple(r) for r in content.r130_links_all(spark, str(tmp_path)).orderBy("archive_id", "link").collect()]
+    roots = ["http://a.example", "https://b.example:8443", "https://c.example"]
+    assert got == [(i, f"{u}{x}") for i, u in enumerate(roots) for x in ("", "/list?p=1")]
+
+
+def test_foreign_anchors_with_any_character(spark, tmp_path):
+    referers = ["http://a.example/s?q=1&lt=2&copy;=3", "http://a.example/x y", "http://a.example/<b>\"q\"", "http://a.example/it's", "http://w.own.test/?a&b", "https://a.example/z?&amp;", None, ""]
+    rows = [(i, "https://www.own.test/p", r) for i, r in enumerate(referers)]
+    spark.createDataFrame(rows, "new_id bigint, clicked_url string, referer string").write.parquet(str(tmp_path / "new_url.parquet"))
+    got = {r.new_id: r.link for r in source_queries.r129_foreign_anchors_all(spark, str(tmp_path)).collect()}
+    assert got == {i: r for i, r in enumerate(referers) if r and "own.test" not in r}
