@@ -133,7 +133,7 @@ def title(html: str) -> str:
 _BAD_LINK = re.compile(r"^(javascript:|mailto:|data:)|\.(exe|zip|rar|iso|apk)$", re.I)
 
 
-def links(html: str, base: str, kind: str = "a") -> list[str]:
+def links(html: str | _Tree, base: str, kind: str = "a") -> list[str]:
     """Absolute links in document order, each once, without fragment and closing slash; kind: a, css or img."""
     tag, attribute = {"a": ("a", "href"), "css": ("link", "href"), "img": ("img", "src")}[kind]
     out: dict[str, None] = {}
@@ -152,7 +152,7 @@ def links(html: str, base: str, kind: str = "a") -> list[str]:
         for k in n.kids:
             walk(k)
 
-    walk(parse(html).root)
+    walk((html if isinstance(html, _Tree) else parse(html)).root)
     return list(out)
 
 

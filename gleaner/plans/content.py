@@ -261,12 +261,22 @@ def r136_price(spark, d):
 
 @query("SELECT archive_id, left(title, 1024) AS title, left(cdoc, 1048576) AS text FROM archive_data WHERE cdoc <> '' AND NOT contains(coalesce(title, '') || cdoc, '  ') AND NOT regexp_matches(coalesce(title, '') || cdoc, '[^\\x21-\\x7E\\x{A1}-\\x{1FFF}\\x{2010}-\\x{2027}\\x{3001}-\\x{D7FF} ]') AND trim(title) = title AND trim(cdoc) = cdoc AND title <> ''")
 def r182_page_projection(spark, d):
-    """Title and text of parsed pages; those without odd white space are compared with SQL."""
+    """Of r182_page_projection_all title and text of pages without odd white space, which are compared with SQL."""
+    odd = r"[^\x21-\x7E\x{A1}-\x{1FFF}\x{2010}-\x{2027}\x{3001}-\x{D7FF} ]"
+    both = F.concat(F.coalesce("title", F.lit("")), F.col("cdoc"))
+    p = _pages(spark, d).filter((F.col("cdoc") != "") & (F.col("title") != "") & ~both.contains("  ") & ~both.rlike(odd) & (F.trim("title") == F.col("title")) & (F.trim("cdoc") == F.col("cdoc")))
+    return _projection(p).select("archive_id", "title", "text")
 
-    @F.pandas_udf("struct<title:string,text:string>")
-    def parsed(body: pd.Series) -> pd.DataFrame:
-        trees = [html.parse(b) for b in body]
 
+@query()
+def r182_page_projection_all(spark, d):
+    """Title, text and distinct links of style sheets, images and anchors, in document order, of every page with a body."""
+    return _projection(_pages(spark, d).filter("cdoc <> ''"))
+
+
+def _projection(pages):
+    @F.pandas_udf("struct<title:string,text:string,css:array<string>,img:array<string>,anchors:array<string>>")
+    def parsed(body: pd.Series, base: pd.Series) -> pd.DataFrame:
         def text(n):
             return "".join(x.text for x in html._leaves(n)) if not html._hidden(n) else ""
 
@@ -275,9 +285,11 @@ def r182_page_projection(spark, d):
                 return n
             return next((r for k in n.kids if (r := find(k, cls)) is not None), None)
 
-        return pd.DataFrame({"title": [" ".join(t.title.split())[:1024] for t in trees], "text": [text(find(t.root, "text") or t.root)[:1048576] for t in trees]})
+        rows = []
+        for b, u in zip(body, base):
+            t = html.parse(b)
+            links = [html.links(t, u or "", kind) for kind in ("css", "img", "a")]
+            rows.append((" ".join(t.title.split())[:1024], text(find(t.root, "text") or t.root)[:1048576], *links))
+        return pd.DataFrame(rows, columns=["title", "text", "css", "img", "anchors"])
 
-    odd = r"[^\x21-\x7E\x{A1}-\x{1FFF}\x{2010}-\x{2027}\x{3001}-\x{D7FF} ]"
-    both = F.concat(F.coalesce("title", F.lit("")), F.col("cdoc"))
-    p = _pages(spark, d).filter((F.col("cdoc") != "") & (F.col("title") != "") & ~both.contains("  ") & ~both.rlike(odd) & (F.trim("title") == F.col("title")) & (F.trim("cdoc") == F.col("cdoc")))
-    return spread(p.select("archive_id", "html")).select("archive_id", parsed("html").alias("x")).select("archive_id", "x.title", "x.text")
+    return spread(pages.select("archive_id", "url", "html")).select("archive_id", parsed("html", "url").alias("x")).select("archive_id", "x.*")

@@ -114,3 +114,16 @@ def test_foreign_anchors_with_any_character(spark, tmp_path):
     spark.createDataFrame(rows, "new_id bigint, clicked_url string, referer string").write.parquet(str(tmp_path / "new_url.parquet"))
     got = {r.new_id: r.link for r in source_queries.r129_foreign_anchors_all(spark, str(tmp_path)).collect()}
     assert got == {i: r for i, r in enumerate(referers) if r and "own.test" not in r}
+
+ARCHIVE = "archive_id bigint, url string, host string, original_encoding string, title string, cdoc string"
+
+
+def test_every_page_is_projected_with_its_links(spark, tmp_path):
+    pages = [("a  b", "x  y "), ("，Ａ", "全角！Ｂ — …"), (None, "é & <b>"), ("", "\ttab"), ("t" * 2000, "z" * 1048580), ("no body", ""), ("none", None)]
+    rows = [(i, "https://a.example/d/x" if i != 2 else None, "a", None, t, c) for i, (t, c) in enumerate(pages)]
+    spark.createDataFrame(rows, ARCHIVE).write.parquet(str(tmp_path / "archive_data.parquet"))
+    got = {r.archive_id: r for r in content.r182_page_projection_all(spark, str(tmp_path)).collect()}
+    assert {i: (r.title, r.text) for i, r in got.items()} == {i: (" ".join((t or "").split())[:1024], c[:1048576]) for i, (t, c) in enumerate(pages) if c}
+    for i, r in got.items():
+        want = (["/main.css"], ["/logo.png"], ["", "/list?p=1"]) if i != 2 else ([], [], [])
+        assert (r.css, r.img, r.anchors) == tuple([f"https://a.example{x}" for x in of] for of in want)
