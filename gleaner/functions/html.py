@@ -159,6 +159,19 @@ def links(html: str | _Tree, base: str, kind: str = "a") -> list[str]:
 _META = re.compile(rb"<meta[^>]{0,200}?charset\s*=\s*[\"']?\s*([A-Za-z0-9_-]+)", re.I)
 
 
+def to_bytes(text: str, name: str | None) -> tuple[bytes, str | None]:
+    """A text in the named charset and that name, where it gives the text back; else in UTF-8, which keeps a name that is no charset."""
+    try:
+        body = text.encode(name or "")
+        if body.decode(name or "") == text:
+            return body, name
+    except LookupError:
+        return text.encode(), name
+    except ValueError:
+        pass
+    return text.encode(), "utf-8"
+
+
 def to_text(body: bytes | None, declared: str | None, max_bad: float = 0.1) -> str | None:
     """A body as text: by the declared charset, else that of its meta tag, else UTF-8, else GB18030; None if over max_bad of it can't be decoded."""
     if body is None:

@@ -201,14 +201,34 @@ def r144_assigned_classes(spark, d):
 
 @query("SELECT archive_id, cdoc AS text FROM archive_data WHERE cdoc IS NOT NULL AND NOT regexp_matches(coalesce(cdoc, ''), '[^\\x00-\\x7F]')")
 def r145_to_text(spark, d):
-    """Bodies of bytes back to text by the charset they declare; plain ones are compared with SQL."""
+    """Of r145_to_text_all the plain ASCII bodies in UTF-8, which are compared with SQL."""
+    a = table(spark, d, "archive_data").filter(F.col("cdoc").isNotNull() & ~F.col("cdoc").rlike(r"[^\x00-\x7F]"))
+    return _to_text(a.select("archive_id", F.encode("cdoc", "UTF-8").alias("b"), F.lit("utf-8").alias("declared")))
+
+
+@query()
+def r145_to_text_all(spark, d):
+    """Bodies of bytes back to text by the charset they declare.
+
+    A body is in its original_encoding and declares it, where that holds the text; else it is UTF-8
+    and declares that, or the unknown name it came with.
+    """
 
+    @F.pandas_udf("struct<b:binary,declared:string>")
+    def coded(text: pd.Series, name: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([html.to_bytes(t, n) for t, n in zip(text, name)], columns=["b", "declared"])
+
+    a = table(spark, d, "archive_data").filter("cdoc IS NOT NULL")
+    a = spread(a.select("archive_id", "cdoc", "original_encoding"))
+    return _to_text(a.select("archive_id", coded("cdoc", "original_encoding").alias("x")).select("archive_id", "x.*"))
+
+
+def _to_text(bodies):
     @F.pandas_udf("string")
     def text(body: pd.Series, declared: pd.Series) -> pd.Series:
         return pd.Series([html.to_text(b, c) for b, c in zip(body, declared)])
 
-    a = table(spark, d, "archive_data").filter(F.col("cdoc").isNotNull() & ~F.col("cdoc").rlike(r"[^\x00-\x7F]"))
-    return spread(a.select("archive_id", F.encode("cdoc", "UTF-8").alias("b"))).select("archive_id", text("b", F.lit("utf-8")).alias("text"))
+    return spread(bodies).select("archive_id", text("b", "declared").alias("text"))
 
 
 @query("SELECT archive_id, length(coalesce(title, '')) || ' ' || length(coalesce(cdoc, '')) AS sizes FROM archive_data")

@@ -4,6 +4,7 @@ import hashlib
 import json
 from urllib.parse import quote_plus
 
+from gleaner.functions import html
 from gleaner.llm import residue
 from gleaner.operators import drift
 from gleaner.plans import content, filters, general, join_queries, source_queries
@@ -118,6 +119,18 @@ def test_foreign_anchors_with_any_character(spark, tmp_path):
 ARCHIVE = "archive_id bigint, url string, host string, original_encoding string, title string, cdoc string"
 
 
+def test_bodies_of_all_charsets_round_trip(spark, tmp_path):
+    texts = ["plain", "水杯 台灯", "ночь", "café ½", "ナイトバス", "", "mixed 水 ночь é"]
+    names = ["UTF-8", "GB18030", "CP936", "Big5", "LATIN-1", "KOI8-R", "SHIFT_JIS", "UTF-16", "ASCII", "x-unknown", "", None]
+    cases = [(t, n) for t in texts for n in names] + [(None, "UTF-8")]
+    rows = [(i, "http://a.example/", "a", n, "t", t) for i, (t, n) in enumerate(cases)]
+    spark.createDataFrame(rows, ARCHIVE).write.parquet(str(tmp_path / "archive_data.parquet"))
+    got = {r.archive_id: r.text for r in content.r145_to_text_all(spark, str(tmp_path)).collect()}
+    assert got == {i: t for i, (t, _) in enumerate(cases) if t is not None}
+    assert html.to_bytes("水杯", "gbk") == ("水杯".encode("gbk"), "gbk")  # not UTF-8 under another name
+    assert html.to_bytes("水杯", "LATIN-1") == ("水杯".encode(), "utf-8")
+
+
 def test_every_page_is_projected_with_its_links(spark, tmp_path):
     pages = [("a  b", "x  y "), ("，Ａ", "全角！Ｂ — …"), (None, "é & <b>"), ("", "\ttab"), ("t" * 2000, "z" * 1048580), ("no body", ""), ("none", None)]
     rows = [(i, "https://a.example/d/x" if i != 2 else None, "a", None, t, c) for i, (t, c) in enumerate(pages)]
