@@ -1,7 +1,8 @@
 """Personal information inside free text: found, listed and replaced by typed placeholders.
 
-The model labels every character of every text; an exact check of shapes then gives the spans
-their true ends and values, and drops what has no value of the kind.
+The model labels every character of every text. Where the text around a decoded span has a known
+shape of its kind, that shape gives the exact ends and the written form; elsewhere the span stands
+as decoded.
 """
 
 from __future__ import annotations
@@ -16,28 +17,43 @@ from gleaner.llm.pii_model import Model
 from gleaner.session import spread
 
 
+AROUND = 64  # characters on both sides of a decoded span in which its shape may lie
+
+
 def settle(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str, str]]:
-    """(start, end, kind, value) of the decoded spans that pass the exact check, without overlaps.
+    """(start, end, kind, value) of the decoded spans, without overlaps.
 
     A shape belongs to a span if they overlap and are of one kind. A number whose shape fits
-    another kind of number than the decoded one keeps its shape's kind.
+    another kind of number than the decoded one keeps its shape's kind. Spans without a shape
+    follow the others and keep their decoded ends.
     """
     out: list[tuple[int, int, str, str]] = []
-    if not spans:
-        return out
+
+    def add(a: int, b: int, kind: str, value: str) -> None:
+        if not any(p < b and a < q for p, q, _, _ in out):
+            out.append((a, b, kind, value))
+
     numbers = ("phone", "id_number")
-    shapes = grammar.candidates(text) if any(k != "person" for _, _, k in spans) else []
-    for a, b, kind, value in shapes:
-        for x, y, said in spans:
-            if x < b and a < y and (said == kind or (said in numbers and kind in numbers)):
-                if not any(p < b and a < q for p, q, _, _ in out):
-                    out.append((a, b, kind, value))
-                break
+    shapeless = []
+    for x, y, said in spans:
+        if said == "person":
+            continue
+        at = max(0, x - AROUND)
+        shapes = [
+            (at + a, at + b, kind, value)
+            for a, b, kind, value in grammar.candidates(text[at : y + AROUND])
+            if at + a < y and x < at + b and (kind == said or (kind in numbers and said in numbers))
+        ]
+        for shape in shapes:
+            add(*shape)
+        if not shapes:
+            shapeless.append((x, y, said))
+    for x, y, said in shapeless:
+        if got := grammar.as_decoded(text, x, y, said):
+            add(*got[:2], said, got[2])
     for x, y, said in spans:
         if said == "person" and (got := grammar.name_at(text, x, y)):
-            a, b, value = got
-            if not any(p < b and a < q for p, q, _, _ in out):
-                out.append((a, b, "person", value))
+            add(got[0], got[1], "person", got[2])
     return sorted(out)
 
 

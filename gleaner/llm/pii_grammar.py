@@ -10,8 +10,11 @@ KINDS = ("email", "phone", "id_number", "address", "person")
 _FOLD = {c: c - 0xFEE0 for c in range(0xFF01, 0xFF5F)} | {0x3000: 32, 0xA0: 32, 0x202F: 32, 0x2010: 45, 0x2011: 45, 0x2012: 45, 0x2013: 45, 0x2212: 45}
 
 
+_FOLDED = re.compile(f"[{''.join(map(chr, sorted(_FOLD)))}]")
+
+
 def fold(text: str) -> str:
-    return text.translate(_FOLD) if not text.isascii() else text
+    return text.translate(_FOLD) if not text.isascii() and _FOLDED.search(text) else text
 
 
 _AT = r"(?:@|\s?(?:\(at\)|\[at\]|\{at\})\s?|\s(?:AT|at)\s(?=[\w-]+\s(?:DOT|dot)\s))"
@@ -119,6 +122,39 @@ _GLUED = re.compile(r"[.\]) ][a-z]{2,}([A-Z][a-z]*)$")
 _DIGIT = re.compile(r"\d")
 
 
+def as_decoded(text: str, start: int, end: int, kind: str) -> tuple[int, int, str] | None:
+    """A span without a known shape as the model gave it, in the kind's written form; None if it can't be of the kind."""
+    span = fold(text[start:end])
+    lead = len(span) - len(span.lstrip(" \n\t.,:;#/\"'"))
+    span = span[lead:].rstrip(" \n\t.,:;/-\"'")
+    start += lead
+    end = start + len(span)
+    before, after = text[start - 1 : start], text[end : end + 1]
+    if before.isascii() and before.isalnum() or after.isascii() and after.isalnum():
+        return None  # a part of a longer word or number
+    digits = _digits(span)
+    if kind == "email":
+        value = re.sub(_LOOSE_DOT, ".", re.sub(_LOOSE_AT, "@", span.lower())).replace(" ", "")
+        return (start, end, value) if re.fullmatch(r"[^@\s]+@[^@\s.]+(?:\.[^@\s.]+)+", value) else None
+    if _GOODS.search(fold(text[max(0, start - 24) : start])):
+        return None
+    if kind == "phone":  # a plain run of digits would need a known number plan
+        return (start, end, digits) if 7 <= len(digits) <= 15 and len(digits) < len(span) <= 2 * len(digits) + 4 else None
+    if kind == "id_number":
+        value = re.sub(r"[^0-9A-Z]", "", span.upper())
+        if re.fullmatch(r"\d{8}T\d{4,6}Z?", value):  # a point in time
+            return None
+        return (start, end, value) if 6 <= len(value) <= 20 and 5 <= len(digits) < len(span) and len(value) - len(digits) <= 4 else None
+    if kind == "address":
+        return (start, end, text[start:end]) if digits and re.search(rf"{_CAP}|{_HAN}{{2}}", span) and re.search(r"^\d|\d\w?$", span) and "\n" not in span else None
+    return None
+
+
+# What stands for the sign and the dots of a disguised address, with marks of any kind around it.
+_LOOSE_AT = r"\s*[(\[{<]\s*(?:at|a)\s*[)\]}>]\s*|\s+at\s+|\s*@\s*"
+_LOOSE_DOT = r"\s*[(\[{<]\s*(?:dot|d)\s*[)\]}>]\s*|\s+dot\s+"
+
+
 def name_at(text: str, start: int, end: int) -> tuple[int, int, str] | None:
     """The name that a decoded span stands for: whole words, without titles; None if it has no name's shape."""
     letter = lambda c: (c.isalpha() or c in "'’-") and c < "⺀"
@@ -142,6 +178,8 @@ def name_at(text: str, start: int, end: int) -> tuple[int, int, str] | None:
     if not m:
         return None
     value = m[0]
+    if _CONTRACTION.search(value):
+        return None
     if text[start + m.end() : start + m.end() + 1] == "." and re.search(r" [A-Z]$", value):
         value += "."
     a, b = start + m.start(), start + m.start() + len(value)
@@ -150,5 +188,6 @@ def name_at(text: str, start: int, end: int) -> tuple[int, int, str] | None:
     return a, b, value
 
 
+_CONTRACTION = re.compile(r"\w['’](?:d|ll|s|re|ve|m|t)\b")
 _SHOUT_BEFORE = re.compile(r"[A-ZÀ-Þ]{3,},? +$")
 _SHOUT_AFTER = re.compile(r",? +[A-ZÀ-Þ]{2,}\b(?! *[:=\d])")

@@ -1,8 +1,8 @@
 """Character-level bidirectional LSTM with CRF transitions, in numpy: training and decoding.
 
-Labels are O and, for each kind, B- and I-. A text is cut into overlapping windows that are
-decoded together; where windows overlap, each character follows the window in which it has the
-most context, and spans that meet at a seam become one.
+Labels are O and, for each kind, B- and I-. The network runs over overlapping windows; where two
+overlap, their emissions are averaged, the nearer to a window's edge the less it counts. The best
+path is then searched over the whole text, so that windows never disagree.
 """
 
 from __future__ import annotations
@@ -14,10 +14,12 @@ from pathlib import Path
 import numpy as np
 
 from gleaner.llm.pii_grammar import KINDS, fold
+from gleaner.llm.pii_onnx import session
 
 LABELS = ["O", *[f"{p}-{k}" for k in KINDS for p in "BI"]]
 L = len(LABELS)
-WINDOW, OVERLAP = 320, 16
+WINDOW, OVERLAP = 320, 32
+BLOCK, SEAM = 1 << 20, 1024  # longer texts are decoded in blocks that share SEAM characters
 WEIGHTS = Path(__file__).with_name("pii_weights.npz")
 
 
@@ -59,6 +61,15 @@ class Alphabet:
         return self.table[np.frombuffer(fold(text).encode("utf-32-le", "surrogatepass"), np.uint32)]
 
 
+def _spans(y: np.ndarray) -> list[tuple[int, int, str]]:
+    """(start, end, kind) of labels; an I- after another label opens a span of its own."""
+    own: list[tuple[int, int, str]] = []
+    if y.any():
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], (y + 1) // 2, [0]])) | np.concatenate([(y % 2 == 1) & (y > 0), [False]]))
+        own = [(int(a), int(b), KINDS[(y[a] - 1) // 2]) for a, b in zip(edges, edges[1:]) if y[a]]
+    return own
+
+
 _TANH_STEP = 512
 _TANH = np.tanh((np.arange(8192) - 4096) / _TANH_STEP).astype(np.float32)
 
@@ -71,9 +82,11 @@ class Model:
         self.alphabet = Alphabet(chars)
         self.hidden = self.p["f_wh"].shape[0]
         self.mask = allowed()
+        self.session = None
+        self.ready = False
 
     @classmethod
-    def new(cls, chars: str, emb: int = 24, hidden: int = 32, seed: int = 7) -> Model:
+    def new(cls, chars: str, emb: int = 16, hidden: int = 24, seed: int = 7) -> Model:
         rng = np.random.default_rng(seed)
         g = lambda *s: rng.normal(0, 1 / np.sqrt(s[0]), s).astype(np.float32)
         size = len(chars) + 16
@@ -159,47 +172,45 @@ class Model:
 
     def emissions(self, x: np.ndarray) -> np.ndarray:
         """(T, N, L) for ids (T, N)."""
+        if not self.ready:
+            self.session, self.ready = session(self.p), True
+        if self.session is not None:
+            return self.session.run(None, {"ids": x.astype(np.int64)})[0]
         x = x.astype(np.int64)
         f, b = self._states(x, "f"), self._states(x, "b")
         hid = self.hidden
         return f @ self.p["out"][:hid] + b @ self.p["out"][hid:] + self.p["bias"]
 
     def viterbi(self, e: np.ndarray) -> np.ndarray:
-        """Best labels (T, N).
-
-        Windows for which no path can beat O throughout are told apart beforehand: a span of n
-        characters gains at most n times the best surplus over O and n + 1 <= 2 n transitions.
-        """
+        """Best labels (T, N) of emissions (T, N, L)."""
         trans = self.p["trans"] + self.mask
-        gain = max(0.0, float(trans.max() - trans[0, 0]), float(trans[L].max() - trans[L, 0]))
-        open_ = (e[:, :, 1:].max(2) - e[:, :, 0]).max(0) + 2 * gain >= 0
-        out = np.zeros(e.shape[:2], np.int8)
-        if open_.any():
-            out[:, open_] = self._viterbi(e[:, open_], trans)
-        return out
-
-    def _viterbi(self, e: np.ndarray, trans: np.ndarray) -> np.ndarray:
         steps, n, _ = e.shape
-        back = np.empty((steps, n, L), np.int8)
-        score = e[0] + trans[L]
+        scores = np.empty((steps, L, n), np.float32)  # labels before rows: maxima over the first axis are fast
+        into = np.ascontiguousarray(trans[:L].T)
+        kinds = np.arange(len(KINDS))
+        open_, go_on = trans[2 * kinds + 1, 2 * kinds + 2][:, None], trans[2 * kinds + 2, 2 * kinds + 2][:, None]
+        scores[0] = e[0].T + trans[L][:, None]
+        sums = np.empty((L, n), np.float32)
         for t in range(1, steps):
-            s = score[:, :, None] + trans[:L][None]
-            back[t] = s.argmax(1)
-            score = np.take_along_axis(s, back[t][:, None, :].astype(np.int64), 1)[:, 0] + e[t]
+            before, now = scores[t - 1], scores[t]
+            np.maximum(before[1::2] + open_, before[2::2] + go_on, out=now[2::2])  # I- follows its own kind only
+            for j in (0, *range(1, L, 2)):
+                np.add(before, into[j][:, None], out=sums)
+                np.maximum.reduce(sums, axis=0, out=now[j])
+            now += e[t].T
         out = np.empty((steps, n), np.int8)
-        out[-1] = score.argmax(1)
-        rows = np.arange(n)
+        out[-1] = scores[-1].argmax(0)
         for t in range(steps - 1, 0, -1):
-            out[t - 1] = back[t][rows, out[t]]
+            out[t - 1] = (scores[t - 1] + into[out[t]].T).argmax(0)
         return out
 
-    def label(self, texts: list[str], at_once: int = 512) -> list[np.ndarray]:
-        """Labels of each text's characters."""
-        step = WINDOW - 2 * OVERLAP
-        ids = [self.alphabet.ids(t) for t in texts]
-        cuts = [(k, s) for k, x in enumerate(ids) for s in range(0, max(1, len(x) - 2 * OVERLAP), step)]
+    def blended(self, ids: list[np.ndarray], at_once: int = 256) -> list[np.ndarray]:
+        """Emissions (n, L) of each sequence of ids, averaged where windows overlap."""
+        step = WINDOW - OVERLAP
+        cuts = [(k, s) for k, x in enumerate(ids) for s in range(0, max(1, len(x) - OVERLAP), step)]
         cuts.sort(key=lambda c: min(WINDOW, len(ids[c[0]]) - c[1]))  # windows of like length together
-        out = [np.zeros(len(x), np.int8) for x in ids]
+        out = [np.zeros((len(x), L), np.float32) for x in ids]
+        rise = ((np.arange(OVERLAP) + 0.5) / OVERLAP).astype(np.float32)[:, None]
         for a in range(0, len(cuts), at_once):
             part = cuts[a : a + at_once]
             width = max(1, *[min(WINDOW, len(ids[k]) - s) for k, s in part], 1)
@@ -207,26 +218,75 @@ class Model:
             for j, (k, s) in enumerate(part):
                 w = ids[k][s : s + width]
                 x[: len(w), j] = w
-            y = self.viterbi(self.emissions(x))
+            e = self.emissions(x)
             for j, (k, s) in enumerate(part):
-                n = len(ids[k])
-                lo = s + OVERLAP if s else 0
-                hi = min(n, s + step + OVERLAP if s + width < n else n)
-                if hi > lo:
-                    out[k][lo:hi] = y[lo - s : hi - s, j]
+                n = min(WINDOW, len(ids[k]) - s)
+                own = e[:n, j]
+                if s:
+                    own[:OVERLAP] *= rise[:n]
+                if s + WINDOW < len(ids[k]):
+                    own[-OVERLAP:] *= 1 - rise
+                out[k][s : s + n] += own
+        return out
+
+    def label(self, texts: list[str], lead: float = 4.0) -> list[np.ndarray]:
+        """Labels of each text's characters: the best path over the whole text.
+
+        The path is searched in pieces that end where O leads by at least `lead` over every other
+        label; where there is no such place, a piece goes on.
+        """
+        ids = [self.alphabet.ids(t) for t in texts]
+        emitted = self.blended(ids)
+        out = [np.zeros(len(x), np.int8) for x in ids]
+        parts = []
+        for k, e in enumerate(emitted):
+            start, n = 0, len(e)
+            margin = e[:, 0] - e[:, 1:].max(1) if n > WINDOW else None
+            while n - start > WINDOW:
+                cut = 0
+                for at in range(start + WINDOW // 2, n, WINDOW // 2):
+                    best = at + int(margin[at : at + WINDOW // 2].argmax())
+                    if margin[best] >= lead:
+                        cut = best
+                        break
+                if not cut:
+                    break
+                parts.append((start, cut, k))
+                start = cut
+            if n > start:
+                parts.append((start, n, k))
+        parts.sort(key=lambda c: c[1] - c[0])
+        while parts:
+            longest = 64 + parts[0][1] - parts[0][0]  # like lengths together
+            some = [c for c in parts[:1024] if c[1] - c[0] <= longest]
+            parts = parts[len(some) :]
+            width = some[-1][1] - some[-1][0]
+            e = np.full((width, len(some), L), -1e4, np.float32)
+            e[:, :, 0] = 0
+            for j, (a, b, k) in enumerate(some):
+                e[: b - a, j] = emitted[k][a:b]
+            y = self.viterbi(e)
+            for j, (a, b, k) in enumerate(some):
+                out[k][a:b] = y[: b - a, j]
         return out
 
     def spans(self, texts: list[str]) -> list[list[tuple[int, int, str]]]:
-        """(start, end, kind) of each text; an I- after another label opens a span of its own."""
-        found = []
-        for y in self.label(texts):
-            own: list[tuple[int, int, str]] = []
-            if y.any():
-                edges = np.flatnonzero(np.diff(np.concatenate([[0], (y + 1) // 2, [0]])) | np.concatenate([(y % 2 == 1) & (y > 0), [False]]))
-                for a, b in zip(edges, edges[1:]):
-                    if y[a]:
-                        own.append((int(a), int(b), KINDS[(y[a] - 1) // 2]))
-            found.append(own)
+        """(start, end, kind) of each text, by its characters."""
+        blocks = [(k, s) for k, t in enumerate(texts) for s in range(0, max(1, len(t) - SEAM), BLOCK)]
+        found: list[list[tuple[int, int, str]]] = [[] for _ in texts]
+        held: list[tuple[int, int]] = []
+        size = 0
+        for i, (k, s) in enumerate(blocks):
+            held.append((k, s))
+            size += min(BLOCK + SEAM, len(texts[k]) - s)
+            if i + 1 < len(blocks) and size < BLOCK:
+                continue  # as many texts at once as make up a block
+            for (k, s), y in zip(held, self.label([texts[k][s : s + BLOCK + SEAM] for k, s in held])):
+                last = s + BLOCK + SEAM >= len(texts[k])
+                for a, b, kind in _spans(y):
+                    if a >= (SEAM // 2 if s else 0) and (last or a < BLOCK + SEAM // 2):
+                        found[k].append((s + a, s + b, kind))
+            held, size = [], 0
         return found
 
     # --- training ----------------------------------------------------------------------------
@@ -267,15 +327,19 @@ class Model:
         dh_all = de @ p["out"].T
         for d, saved, dh_d in (("f", saved_f, dh_all[:, :, :hid]), ("b", saved_b, dh_all[:, :, hid:])):
             wh, wx = p[f"{d}_wh"], p[f"{d}_wx"]
-            d_wh, d_table = np.zeros_like(wh), np.zeros((p["emb"].shape[0], 4 * hid), np.float32)
+            d_wh, d_table = np.zeros_like(wh), np.zeros((p["emb"].shape[0], 4 * hid), wh.dtype)
+            d_z = np.empty((steps, n, 4 * hid), wh.dtype)
             dh, dc = np.zeros((n, hid), np.float32), np.zeros((n, hid), np.float32)
             for t, h0, c0, i, fg, gg, o, tc in reversed(saved):
                 dh = dh + dh_d[t]
                 dc = dc + dh * o * (1 - tc * tc)
                 dz = np.concatenate([dc * gg * i * (1 - i), dc * c0 * fg * (1 - fg), dc * i * (1 - gg * gg), dh * tc * o * (1 - o)], 1)
                 d_wh += h0.T @ dz
-                np.add.at(d_table, x[t], dz)
+                d_z[t] = dz
                 dh, dc = dz @ wh.T, dc * fg
+            by_char = np.argsort(x, axis=None, kind="stable")
+            chars, first = np.unique(x.ravel()[by_char], return_index=True)
+            d_table[chars] = np.add.reduceat(d_z.reshape(-1, 4 * hid)[by_char], first, axis=0)
             g[f"{d}_wh"], g[f"{d}_wx"], g[f"{d}_b"] = d_wh, p["emb"].T @ d_table, d_table.sum(0)
             g["emb"] += d_table @ wx.T
         return float((log_z - gold).sum() / count), g

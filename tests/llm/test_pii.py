@@ -98,6 +98,36 @@ def test_held_out_accuracy():
     assert hit >= 0.9 * all_
 
 
+def test_forms_without_a_shape_are_found():
+    make, m = pii_train.Inventor(98), Model.load()
+    for kind, least in (("phone", 0.9), ("email", 0.8), ("id_number", 0.8), ("address", 0.8)):
+        patterns = [p for p in pii_train.PATTERNS if p.count("{") == 1 and f"{{{kind}}}" in p]
+        texts = [make.r.choice(patterns).replace(f"{{{kind}}}", make.value(kind, pii_train.HELD)) for _ in range(100)]
+        assert sum(any(k == kind for _, _, k in s) for s in m.spans(texts)) >= least * 100
+
+
+@pytest.mark.parametrize("kind, text, value", [
+    ("email", "xenia <at> somoel <dot> com", "xenia@somoel.com"), ("phone", "+41 79 555 01 02", "41795550102"),
+    ("id_number", "297.929.478-22", "29792947822"), ("address", "Rua das Flores, 67", "Rua das Flores, 67"),
+])
+def test_a_span_without_a_shape_keeps_its_ends(kind, text, value):
+    assert pii.settle(f"So: {text}. Then", [(4, 4 + len(text), kind)])[-1][2:] == (kind, value)
+
+
+def test_pieces_give_the_path_of_the_whole_text():
+    m, make = Model.load(), pii_train.Inventor(5)
+    text = " ".join(make.sentence()[0] for _ in range(60))
+    whole = m.viterbi(m.blended([m.alphabet.ids(text)])[0][:, None, :])[:, 0]
+    assert len(text) > 1500 and (m.label([text])[0] == whole).all()
+
+
+def test_onnx_graph_equals_numpy():
+    a, b = Model.load(), Model.load()
+    b.ready = True  # no session: numpy
+    x = np.random.default_rng(3).integers(0, 200, (50, 7)).astype(np.int16)
+    assert np.abs(a.emissions(x) - b.emissions(x)).max() < 0.2
+
+
 def test_found_and_redacted(spark):
     card = "\nContact card\nName: Torvald Granmocorth\nPhone: 07700 900674\nMail: x.y@saltmere.test\nAddress: 13 Larkspur Avenue\n"
     rows = [(1, card + card, "e"), (2, None, "e"), (3, "", "e"), (4, "no names here", "e"), (5, "中" * 50000, "e"), (1, card, "e")]
