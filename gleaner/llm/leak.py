@@ -1,10 +1,14 @@
 """Evaluation texts leaking into training text, by template canonicalisation.
 
 Items and documents become sequences of words (12 in a window) or, for Chinese, of characters
-(20). Numbers, units and the items' names become typed placeholders; windows of the resulting
-templates are hash-joined. The slots of a matching window are then compared: equal slots are a
-verbatim leak, slots that were replaced consistently (the same value by the same other value
-throughout) a re-parameterised question.
+(20). Numbers, units and names become typed placeholders, in two forms: word by word, names left
+alone (form 0), and with whole numbers and names as one placeholder each (form 1). Windows of the
+templates are hash-joined. Windows whose words are equal are a verbatim leak. Along an alignment of
+a document with an item, the slots of all its windows are compared: where every value of the item
+is replaced by one value throughout, and some by another one, the item is re-parameterised.
+
+Consecutive matching windows of a document form a run; equal runs of many documents are joined
+once and linked to their documents afterwards, as equal items are.
 """
 
 from __future__ import annotations
@@ -21,9 +25,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.session import spread
+from gleaner.session import spread, written
 
-# Number words and units that become placeholders.
+# Number words, units, measure words and marks of names that become placeholders.
 NUMBER_WORDS = (
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
     "eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million half double"
@@ -31,35 +35,55 @@ NUMBER_WORDS = (
 UNITS = (
     "mm cm m km g kg mg t l ml s sec min h hour hours minute minutes second seconds day days week weeks month months "
     "year years metre metres meter meters kilometre kilometres gram grams kilogram kilograms litre litres liter liters "
-    "percent degree degrees euro euros dollar dollars"
+    "percent degree degrees euro euros dollar dollars mile miles foot feet inch inches pound pounds ounce ounces cent cents"
 ).split()
-HAN_NUMBERS = "零〇一二两三四五六七八九十百千万亿"
+HAN_NUMBERS = "零〇一二两三四五六七八九十百千万亿半"
+HAN_UNITS = (
+    "平方米 立方米 平方厘米 千米 公里 厘米 毫米 分米 千克 公斤 毫克 毫升 分钟 小时 星期 个月 美元 欧元 人民币 米 克 吨 升 秒 天 周 月 年 岁 元 角 分 块 "
+    "个 只 本 支 把 箱 台 辆 件 条 张 位 名 颗 棵 枚 袋 瓶 杯 盒 包 斤 两 亩 里 度 次 倍 页"
+).split()
+HAN_SURNAMES = "王李张刘陈杨黄赵吴周徐孙马朱胡郭何高林罗郑梁谢宋唐许韩冯邓曹彭曾肖田董袁潘于蒋蔡余杜叶程苏魏吕丁任沈姚卢姜崔钟谭陆汪范石廖贾夏韦付方白邹孟熊秦邱江尹薛闫段雷侯龙史陶黎贺顾毛郝龚邵万钱严覃武戴莫孔向汤"
+HAN_TITLES = "先生 女士 老师 同学 师傅 医生 教授 经理 小姐 大爷 大妈 阿姨 叔叔".split()
+HAN_AFTER_NAME = "有 和 与 把 给 说 想 买 卖 从 在 是 每 用 要 去 对 比 将 先 又 的 家 走 跑 骑 种 做 写 读 看".split()
 
 WORDS, CHARS = 12, 20
-_TAG = re.compile(r"<[!/?]?[A-Za-z][^<>]*>|<!--.{0,4000}?-->", re.S)
+_TAG = re.compile(r"<[!/?]?[A-Za-z][^<>]*>")
 _WORD = re.compile(r"[^\W_]+")
+_TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[^\W_]+|[.!?:](?=\s|$)")
+_HAN = re.compile("[⺀-⿟㐀-鿿豈-﫿\U00020000-\U0002ffff]")
+_HAN_SLOT = re.compile(
+    rf"(?P<number>[{HAN_NUMBERS}0-9]+)(?P<unit>{'|'.join(HAN_UNITS)})?"
+    rf"|(?P<name>[{HAN_SURNAMES}小老阿][㐀-鿿]{{0,2}}?(?:{'|'.join(HAN_TITLES)})"
+    rf"|[小老阿][㐀-鿿](?={'|'.join(HAN_AFTER_NAME)})|[{HAN_SURNAMES}][㐀-鿿]{{1,2}}?(?={'|'.join(HAN_AFTER_NAME)}))"
+)
 _SEED = np.uint64(0x9E3779B97F4A7C15)
-OUT = "id bigint, lang string, h bigint, r bigint, slots array<string>"
+_INVISIBLE = re.compile("[­؜᠎​-‏‪-‮⁠-⁯﻿]")
+LITERAL, NUMBER, UNIT, NAME, END = range(5)
+OUT = "id bigint, lang string, form int, run binary, h array<bigint>, r array<bigint>, slots array<array<string>>"
+
+
+def _without_comments(text: str, tag: str) -> str:
+    parts, at = [], 0
+    while (a := text.find("<!--", at)) >= 0 and (b := text.find("-->", a + 4)) >= 0:
+        parts += [text[at:a], tag]
+        at = b + 3
+    return "".join([*parts, text[at:]]) if parts else text
+
+
+def _without_tags(text: str, tag: str) -> str:
+    return _TAG.sub(tag, _without_comments(text, tag)) if "<" in text else text
 
 
 def plain(text: str, tag: str) -> str:
-    """Without tags (each replaced by `tag`), entities, invisible characters, width and letter case."""
-    if "<" in text:
-        text = _TAG.sub(tag, text)
+    """Without tags and comments (each replaced by `tag`), entities, invisible characters and width; letter case stays."""
+    text = _without_tags(text, tag)
     if "&" in text:
-        text = html.unescape(html.unescape(text))
-        if "<" in text:
-            text = _TAG.sub(tag, text)
+        text = _without_tags(html.unescape(html.unescape(text)), tag)
     if not text.isascii():
         text = unicodedata.normalize("NFKC", text)
         text = "".join(c for c in text if unicodedata.category(c) != "Cf") if _INVISIBLE.search(text) else text
-        text = text.replace("'", "").replace("’", "")
-    else:
-        text = text.replace("'", "")
-    return text.lower()
-
-
-_INVISIBLE = re.compile("[­؜᠎​-‏‪-‮⁠-⁯﻿]")
+        text = text.replace("’", "")
+    return text.replace("'", "")
 
 
 @lru_cache(1)
@@ -79,139 +103,251 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def _windows(x: np.ndarray, k: int) -> np.ndarray:
     """Hash of each k consecutive entries (uint64, wraps around)."""
-    if len(x) < k:
-        return np.zeros(0, np.uint64)
     out = np.zeros(len(x) - k + 1, np.uint64)
     for j in range(k):
-        out = out * _SEED + x[j : j + len(out)]
+        out *= _SEED
+        out += x[j : j + len(out)]
     return _mix(out)
 
 
+def _sums(x: np.ndarray, k: int) -> np.ndarray:
+    """Sum of each k consecutive entries."""
+    total = np.concatenate([[0], np.cumsum(x)])
+    return total[k:] - total[:-k]
+
+
+_TYPED = np.array([0, *[xxhash.xxh64_intdigest(k) for k in ("<number>", "<unit>", "<name>", "<end>")]], np.uint64)
+
+
+class _Words(dict):
+    """Index of each word in growing arrays of its hash and kind; starts anew when it holds `most`."""
+
+    def __init__(self, kind, most: int = 1 << 18):
+        self.kind, self.most = kind, most
+        self.hashes, self.kinds = np.zeros(most, np.uint64), np.zeros(most, np.int8)
+
+    def __missing__(self, word: str) -> int:
+        i = len(self)
+        self.hashes[i], self.kinds[i] = xxhash.xxh64_intdigest(word.lower()), self.kind(word)
+        self[word] = i
+        return i
+
+    def look_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if len(self) + len(words) > self.most:
+            self.clear()
+            if len(words) > self.most:
+                self.__init__(self.kind, 2 * len(words))
+        i = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return self.hashes[i], self.kinds[i]
+
+
+def _by_word(numbers: frozenset[str], units: frozenset[str]):
+    return lambda w: NUMBER if w[0].isdigit() or w in numbers else UNIT if w in units else LITERAL
+
+
+def _by_token(numbers: frozenset[str], units: frozenset[str]):
+    def kind(t: str) -> int:
+        low = t.lower()
+        if low in ".!?:":
+            return END
+        return NUMBER if t[0].isdigit() or low in numbers else UNIT if low in units else NAME if t[0].isupper() else LITERAL
+
+    return kind
+
+
 class Templates:
-    """Windows of one text: (template hashes, raw hashes, slots of a window)."""
-
-    def __init__(self, names: frozenset[str]):
-        self.types = {w: "<unit>" for w in UNITS} | {w: "<number>" for w in NUMBER_WORDS} | {w: "<name>" for w in names}
-        self.words: dict[str, tuple[np.uint64, np.uint64]] = {}
-
-    def _word(self, w: str) -> tuple[np.uint64, np.uint64]:
-        got = self.words.get(w)
-        if got is None:
-            raw = np.uint64(xxhash.xxh64_intdigest(w))
-            kind = "<number>" if w[0].isdigit() else self.types.get(w)
-            got = raw, np.uint64(xxhash.xxh64_intdigest(kind)) if kind else raw
-            if len(self.words) > 1 << 19:
-                self.words.clear()
-            self.words[w] = got
-        return got
-
-    def by_words(self, text: str):
-        words = _WORD.findall(text)
-        if len(words) < WORDS:
-            return None
-        both = np.array([self._word(w) for w in words], np.uint64)
-        raw, typed = both[:, 0], both[:, 1]
-        slots = lambda i: [words[j] for j in range(i, i + WORDS) if raw[j] != typed[j]]
-        return _windows(typed, WORDS), _windows(raw, WORDS), slots
+    """Windows of one text in both forms: (form, template hashes, hashes of the words, slots of a window, which windows count)."""
 
-    def by_chars(self, text: str):
+    def __init__(self):
+        numbers, units = frozenset(NUMBER_WORDS), frozenset(UNITS)
+        self.words, self.tokens = _Words(_by_word(numbers, units)), _Words(_by_token(numbers, units))
+
+    def english(self, text: str):
+        low = text.lower()
+        words = _WORD.findall(low)
+        if len(words) < WORDS:
+            return
+        raw, kinds = self.words.look_up(words)
+        typed = np.where(kinds > 0, _TYPED[kinds], raw)
+        yield 0, _windows(typed, WORDS), _windows(raw, WORDS), lambda i: [words[j] for j in range(i, i + WORDS) if kinds[j]], None
+        if text == low and not any(c in text for c in ".,"):
+            return
+        tokens = _TOKEN.findall(text)
+        hashes, kinds1 = self.tokens.look_up(tokens)
+        yield from self._merged(tokens, hashes, kinds1, WORDS, " ")
+
+    def chinese(self, text: str):
         letters, numbers = _tables()
-        raw = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        raw = raw[letters[np.minimum(raw, 0x2FFFF)]]
+        code = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+        raw = code[letters[np.minimum(code, 0x2FFFF)]]
         if len(raw) < CHARS:
-            return None
-        typed = np.where(numbers[np.minimum(raw, 0x2FFFF)], ord("0"), raw)
-        raw, typed = raw.astype(np.uint64) + np.uint64(1), typed.astype(np.uint64) + np.uint64(1)
-        slots = lambda i: [chr(int(raw[j]) - 1) for j in range(i, i + CHARS) if raw[j] != typed[j]]
-        return _windows(typed, CHARS), _windows(raw, CHARS), slots
-
-
-def _scan(langs: tuple[str, ...] | None, names: frozenset[str], wanted: dict[str, np.ndarray] | None):
-    """Record batches (id, lang, text) in, windows out; only those whose template hash is wanted, if given."""
+            return
+        kinds = numbers[np.minimum(raw, 0x2FFFF)].astype(np.int8)
+        own = raw.astype(np.uint64) + np.uint64(1)
+        typed = np.where(kinds > 0, _TYPED[kinds], own)
+        yield 0, _windows(typed, CHARS), _windows(own, CHARS), lambda i: [chr(raw[j]) for j in range(i, i + CHARS) if kinds[j]], None
+        flat = raw.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+        kinds1 = np.zeros(len(raw), np.int8)
+        for m in _HAN_SLOT.finditer(flat):
+            if m["name"]:
+                kinds1[m.start() : m.end()] = NAME
+            else:
+                kinds1[m.start("number") : m.end("number")] = NUMBER
+                if m["unit"]:
+                    kinds1[m.start("unit") : m.end("unit")] = UNIT
+        yield from self._merged(flat, own, kinds1, CHARS, "")
+
+    @staticmethod
+    def _merged(tokens, hashes: np.ndarray, kinds: np.ndarray, size: int, glue: str):
+        """Form 1: neighbours of one kind are one placeholder, but for a sentence's first word, whose capital says little.
+
+        At least half of a window stays literal, and something differs from form 0.
+        """
+        first = np.ones(len(kinds), bool)
+        first[1:] = (kinds[1:] == LITERAL) | (kinds[1:] != kinds[:-1])
+        if glue:
+            first[1:2] = True
+            first[2:] |= kinds[:-2] == END
+        starts = np.flatnonzero(first)
+        ends = np.append(starts[1:], len(kinds))
+        words = kinds[starts] != END
+        starts, ends = starts[words], ends[words]
+        if len(starts) < size:
+            return
+        own = kinds[starts]
+        typed = np.where(own > 0, _TYPED[own], hashes[starts])
+        counts = (_sums((own == LITERAL).astype(np.int64), size) * 2 >= size) & (
+            _sums(((own == NAME) | (own == UNIT) | (ends - starts > 1) | ((own == NUMBER) & (size == WORDS))).astype(np.int64), size) > 0
+        )
+        slots = lambda i: [glue.join(tokens[starts[j] : ends[j]]).lower() for j in range(i, i + size) if own[j]]
+        h = _windows(typed, size)
+        yield 1, h, np.zeros(len(h), np.uint64), slots, counts
+
+
+class Wanted:
+    """Which template hashes to look for: sorted arrays, or beyond their bound a bitmap that lets others through too."""
+
+    def __init__(self, arrays: dict[str, np.ndarray] | None, bitmap: np.ndarray | None, han: bool):
+        self.arrays, self.bitmap, self.han = arrays, bitmap, han  # han: every Chinese window has a Han character
+
+    def among(self, lang: str, h: np.ndarray) -> np.ndarray:
+        if self.arrays is not None:
+            own = self.arrays[lang]
+            if not len(own):
+                return np.zeros(len(h), bool)
+            return own[np.minimum(np.searchsorted(own, h), len(own) - 1)] == h
+        bit = h & np.uint64(64 * len(self.bitmap) - 1)
+        return (self.bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _scan(langs: tuple[str, ...] | None, wanted=None):
+    """Record batches (id, lang, text) in, runs of windows out; wanted: a broadcast Wanted, None for all windows."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        templates = Templates(names)
+        templates = Templates()
+        look = wanted.value if wanted is not None else None
         for batch in batches:
-            rows: list[list] = [[], [], [], [], []]
+            rows: list[tuple] = []
             for ident, lang, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if not text or ident is None:
                     continue
+                seen: set[bytes] = set()
                 for as_lang in langs or (lang,):
+                    if as_lang == "zh" and look is not None and look.han and "&" not in text and not _HAN.search(text):
+                        continue
                     # once with tags removed, once, where that differs, with tags taken for white space
-                    seen: set[tuple[int, int]] = set()
                     for tag in ("", " ") if as_lang == "en" and ("<" in text or "&" in text) else ("",):
                         flat = plain(text, tag)
-                        got = templates.by_words(flat) if as_lang == "en" else templates.by_chars(flat)
-                        if got is None:
-                            continue
-                        h, r, slots = got
-                        if wanted is None:
-                            at = np.arange(len(h))
-                        else:
-                            own = wanted[as_lang]
-                            if not len(own):
+                        for form, h, r, slots, counts in templates.english(flat) if as_lang == "en" else templates.chinese(flat):
+                            hit = np.ones(len(h), bool) if look is None else look.among(as_lang, h)
+                            at = np.flatnonzero(hit if counts is None else hit & counts)
+                            if not len(at):
                                 continue
-                            place = np.minimum(np.searchsorted(own, h), len(own) - 1)
-                            at = np.flatnonzero(own[place] == h)
-                        for i in at.tolist():
-                            key = (int(h[i].view(np.int64)), int(r[i].view(np.int64)))
-                            if key not in seen:
-                                seen.add(key)
-                                for column, value in zip(rows, (ident, as_lang, *key, slots(i))):
-                                    column.append(value)
-            types = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types)], names=["id", "lang", "h", "r", "slots"])
+                            for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1):
+                                held = [slots(i) for i in run.tolist()]
+                                key = xxhash.xxh3_128_digest(
+                                    b"".join([as_lang.encode(), bytes([form]), h[run].tobytes(), r[run].tobytes(), repr(held).encode("utf-8", "surrogatepass")])
+                                )
+                                if key not in seen:
+                                    seen.add(key)
+                                    rows.append((ident, as_lang, form, key, h[run].view(np.int64), r[run].view(np.int64), held))
+            columns = list(zip(*rows)) or [()] * 7
+            longs = pa.list_(pa.int64())
+            types = (pa.int64(), pa.string(), pa.int32(), pa.binary(), longs, longs, pa.list_(pa.list_(pa.string())))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(c), t) for c, t in zip(columns, types)], names=["id", "lang", "form", "run", "h", "r", "slots"]
+            )
 
     return scan
 
 
-def item_names(texts: list[tuple[str, str]]) -> frozenset[str]:
-    """Words that English items never write in lower case, though inside a sentence."""
-    inside, lower = set(), set()
-    for lang, text in texts:
-        if lang == "en" and text:
-            for m in re.finditer(r"(?<=[a-z,;] )([A-Za-z][a-z]+)", text):
-                (inside if m[1][0].isupper() else lower).add(m[1].lower())
-    return frozenset(inside - lower)
+def _wanted(windows: DataFrame, texts: DataFrame, max_bytes: int) -> Wanted:
+    """The items' template hashes in at most max_bytes, as arrays (8 bytes each) or as a bitmap."""
+    hashes = windows.select("lang", "h").distinct()
+    n = hashes.count()
+    bare = F.regexp_replace("text", r"[^\p{L}\p{N}]", "")
+    han = texts.filter("lang = 'zh'").filter(bare.rlike("[^㐀-鿿]{20}")).isEmpty()
+    if 8 * n <= max_bytes:
+        arrays = {k: hashes.filter(F.col("lang") == k).select("h").toPandas().h.to_numpy(np.int64) for k in ("en", "zh")}
+        return Wanted({k: np.sort(a.view(np.uint64)) for k, a in arrays.items()}, None, han)
+    words = 1 << max(0, (max_bytes // 8).bit_length() - 1)
+    bits = hashes.selectExpr(f"shiftright(h & {64 * words - 1}, 6) AS w", "shiftleft(1L, CAST(h & 63 AS INT)) AS bit")
+    some = bits.groupBy("w").agg(F.bit_or("bit").alias("bits")).toPandas()  # at most `words` rows
+    bitmap = np.zeros(words, np.uint64)
+    bitmap[some.w.to_numpy(np.int64)] = some.bits.to_numpy(np.int64).view(np.uint64)
+    return Wanted(None, bitmap, han)
 
 
-def leaks(docs: DataFrame, items: DataFrame, max_items: int = 1_000_000, max_windows: int = 20_000_000) -> DataFrame:
-    """One row per document, item and kind ('verbatim' or 'reparameterised') with the number of matching windows.
+def _flat(runs: DataFrame, key: str) -> DataFrame:
+    """One row per window of the runs: key, lang, form, at (place in the run), h, r, slots."""
+    windows = F.arrays_zip(F.sequence(F.lit(0), F.size("h") - 1).alias("at"), "h", "r", "slots")
+    return runs.select(key, "lang", "form", F.explode(windows).alias("w")).select(key, "lang", "form", "w.*")
+
+
+def leaks(docs: DataFrame, items: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
+    """One row per document, item and kind ('verbatim' or 'reparameterised') with the windows of the longest match.
 
     docs: doc_id, text. items: item_id, lang ('en' by words, 'zh' by characters), text. Null and
-    empty texts and texts shorter than a window never match; repeated documents match each under
-    their own id; an empty table gives no rows. The items' names come from the items alone.
+    empty texts, null ids and texts shorter than a window never match; repeated documents and items
+    match each under their own id; an empty table gives no rows. Names are told inside each text
+    (capitals; in Chinese, surnames before a title or a verb), so that a text's templates depend
+    on nothing else. A window of form 1 counts if at least half of it is literal.
 
-    The items' template hashes go to the workers as one sorted array while there are at most
-    max_windows of them (8 bytes each) from at most max_items items; beyond that all windows of
-    the documents are joined by a shuffle instead, with the same result.
+    The items' template hashes go to the workers, in max_bytes at most: as a sorted array, or where
+    that is larger as a bitmap, which lets more of the documents' windows through to the join.
     """
     spark = docs.sparkSession
-    own = items.select(F.col("item_id").cast("bigint").alias("id"), "lang", "text").filter("lang IN ('en', 'zh')")
-    small = own.count() <= max_items
-    names = item_names([tuple(r) for r in own.select("lang", "text").toLocalIterator()]) if small else frozenset()
-    item_windows = spread(own, 1).mapInArrow(_scan(None, names, None), OUT)
-    wanted = None
-    if small:
-        hashes = item_windows.select("lang", "h").distinct().limit(max_windows + 1).toPandas()
-        if len(hashes) <= max_windows:
-            wanted = {k: np.sort(hashes.h[hashes.lang == k].to_numpy(np.int64).view(np.uint64)) for k in ("en", "zh")}
+    own = items.select(F.col("item_id").cast("bigint").alias("item_id"), "lang", "text").filter("item_id IS NOT NULL AND text <> '' AND lang IN ('en', 'zh')")
+    texts = own.groupBy("lang", "text").agg(F.min("item_id").alias("id"))
+    item_windows = written(_flat(spread(texts.select("id", "lang", "text"), 1).mapInArrow(_scan(None), OUT), "id"), "item-windows")
+    wanted = spark.sparkContext.broadcast(_wanted(item_windows, texts, max_bytes))
     source = spread(docs.select(F.col("doc_id").cast("bigint").alias("id"), F.lit("").alias("lang"), "text"))
-    doc_windows = source.mapInArrow(_scan(("en", "zh"), names, wanted), OUT)
-    left = doc_windows.select(F.col("id").alias("doc_id"), "lang", "h", "r", "slots")
-    right = item_windows.select(F.col("id").alias("item_id"), "lang", "h", F.col("r").alias("item_r"), F.col("slots").alias("item_slots"))
-    if wanted is not None:
-        right = F.broadcast(right)
-    met = left.join(right, ["lang", "h"])
-    pairs = F.arrays_zip(F.col("slots").alias("a"), F.col("item_slots").alias("b"))
-    distinct = F.size(F.array_distinct(pairs))
-    consistent = (F.size("slots") == F.size("item_slots")) & (
-        (distinct == F.size(F.array_distinct("slots"))) & (distinct == F.size(F.array_distinct("item_slots")))
+    found = written(source.mapInArrow(_scan(("en", "zh"), wanted), OUT), "runs")
+    runs = found.groupBy("run").agg(*[F.first(c).alias(c) for c in ("lang", "form", "h", "r", "slots")])
+    left = _flat(runs, "run")
+    right = item_windows.select("lang", "form", "h", F.col("id").alias("item"), F.col("at").alias("item_at"), F.col("r").alias("item_r"), F.col("slots").alias("item_slots"))
+    met = left.join(right, ["lang", "form", "h"])
+    pairs = F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b"))
+    aligned = met.groupBy("run", "item", "form", (F.col("at") - F.col("item_at")).alias("shift")).agg(
+        F.count_if((F.col("form") == 0) & (F.col("r") == F.col("item_r"))).alias("equal"),
+        F.count(F.lit(1)).alias("n"),
+        F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
+    )
+    replaced = F.exists("pairs", lambda p: p["a"] != p["b"])
+    consistent = F.size(F.array_distinct(F.transform("pairs", lambda p: p["a"]))) == F.size("pairs")
+    kinds = F.array_compact(
+        F.array(
+            F.when(F.col("equal") > 0, F.struct(F.lit("verbatim").alias("kind"), F.col("equal").alias("windows"))),
+            F.when(replaced & consistent, F.struct(F.lit("reparameterised").alias("kind"), F.col("n").alias("windows"))),
+        )
     )
-    kind = F.when(F.col("r") == F.col("item_r"), "verbatim").when(consistent, "reparameterised")
+    by_run = aligned.select("run", "item", F.explode(kinds).alias("k")).groupBy("run", "item", "k.kind").agg(F.max("k.windows").alias("windows"))
+    same_items = own.join(texts.withColumnRenamed("id", "item"), ["lang", "text"]).select("item", "item_id")
     return (
-        met.withColumn("kind", kind)
-        .filter("kind IS NOT NULL")
+        found.select(F.col("id").alias("doc_id"), "run")
+        .distinct()
+        .join(by_run, "run")
+        .join(same_items, "item")
         .groupBy("doc_id", "item_id", "kind")
-        .agg(F.countDistinct("r").alias("windows"))
+        .agg(F.max("windows").alias("windows"))
     )

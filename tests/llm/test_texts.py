@@ -119,8 +119,42 @@ DOCS = [
 def test_leaks(spark):
     want = {(0, 1, "verbatim"), (2, 1, "reparameterised"), (3, 2, "verbatim"), (5, 1, "verbatim")}
     assert leaks(spark, DOCS) == want
-    assert leaks(spark, DOCS, max_windows=1) == want  # by a shuffle instead of the broadcast
+    assert leaks(spark, DOCS, max_bytes=0) == want  # by a bitmap of one word instead of the arrays
+    assert leaks(spark, DOCS, max_bytes=4096) == want
     assert leaks(spark, [None]) == set()
+    gap = "<!-- " + "x" * 9000 + " -->"
+    assert leaks(spark, [f"foreman at the observatory salvaged{gap} thirty granular turbines silently, since the miller"]) == {(0, 1, "verbatim")}
+
+
+PROBLEMS = [
+    (11, "en", "Yesterday Alice bought 12 crates of plums and sold 1,200 plums to Dora before the market closed, how many plums did Alice keep?"),
+    (12, "zh", "小明有12个苹果，他把其中的3个苹果送给了同桌，又用5元钱买了一些铅笔，请问小明现在还剩多少个苹果？"),
+    (13, "en", "A train leaves the northern harbour at 9 and covers 45 km in each hour, after twenty five minutes it stops near the mill."),
+]
+CHANGED = {
+    "Yesterday Bruno bought 34 crates of plums and sold 950.5 plums to Edith before the market closed, how many plums did Bruno keep?": 11,
+    "xx yesterday Carol Ann bought 7 crates of plums and sold 12,500 plums to Mr Finn before the market closed, how many plums did Carol Ann keep?": 11,
+    "小红有345个苹果，他把其中的一百二十个苹果送给了同桌，又用8块钱买了一些铅笔，请问小红现在还剩多少个苹果？": 12,
+    "王老师有6只苹果，他把其中的2只苹果送给了同桌，又用70元钱买了一些铅笔，请问王老师现在还剩多少只苹果？": 12,
+    "A train leaves the northern harbour at 11 and covers 60 miles in each hour, after forty minutes it stops near the mill.": 13,
+}
+SIMILAR = [
+    "Yesterday Bruno bought 34 crates of plums and sold 950 plums to Edith before the market closed, how many plums did Gerda keep?",  # Alice became two
+    "Yesterday Bruno bought pears and some plums.",
+    "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20",
+    "Anna Bert Carl Dora Emil Fritz Gert Hans Ida Jan Kurt Leo Max Nora Otto",
+]
+
+
+def test_reparameterised_leaks(spark):
+    docs = [*CHANGED, *SIMILAR]
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    i = spark.createDataFrame(PROBLEMS + [(21, *PROBLEMS[0][1:]), (22, "en", "1 2 3 4 5 6 7 8 9 10 11 12 13"), (None, "en", "x " * 20)], "item_id bigint, lang string, text string")
+    want = {(k, item) for k, item in enumerate(CHANGED.values())} | {(k, 21) for k in (0, 1)} | {(len(CHANGED) + 2, 22)}
+    for how in ({}, {"max_bytes": 0}):
+        got = {(x.doc_id, x.item_id, x.kind) for x in leak.leaks(d, i, **how).collect()}
+        assert {x[:2] for x in got} == want
+        assert {x[2] for x in got if x[0] < len(CHANGED)} == {"reparameterised"}
 
 
 def test_leaks_match_brute_force(spark):
