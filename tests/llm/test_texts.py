@@ -81,6 +81,69 @@ CONTENT = [
 ]
 
 
+# Wording of public servers, browsers and services, not consulted for the phrase lists.
+HELD_OUT = """
+Ошибка 404. Такой страницы нет на сайте.
+La page que vous cherchez est introuvable.
+요청하신 페이지를 찾을 수 없습니다.
+Aradığınız sayfa bulunamadı.
+This page isn't working. HTTP ERROR 500
+This site can’t be reached. shop.example took too long to respond.
+The requested URL /old/index.html was not found on this server.
+403 Forbidden
+502 Bad Gateway nginx/1.18.0
+The server encountered an internal error or misconfiguration and was unable to complete your request.
+Error 503: Backend fetch failed
+We're sorry, but something went wrong.
+The page you were looking for doesn't exist. You may have mistyped the address or the page may have moved.
+Our systems have detected unusual traffic from your computer network.
+Please turn JavaScript on and reload the page.
+You need to enable JavaScript to run this app.
+This website requires cookies. Please enable cookies in your browser.
+Your browser is not supported. Please upgrade your browser.
+Die angeforderte Seite wurde nicht gefunden.
+Die Seite konnte nicht gefunden werden.
+Bitte aktivieren Sie JavaScript in Ihrem Browser.
+Cette page n’est plus disponible.
+Le serveur est temporairement indisponible.
+Veuillez activer JavaScript pour continuer.
+La página solicitada no existe.
+Error 404: página no encontrada
+El servidor no está disponible en este momento.
+A página que você procura não foi encontrada.
+La pagina richiesta non è stata trovata.
+Страница не найдена
+Сервис временно недоступен, попробуйте позже.
+Для работы сайта включите JavaScript.
+お探しのページは見つかりませんでした。
+申し訳ございません。ページが存在しません。
+JavaScriptを有効にしてください。
+您要访问的页面不存在或已被删除
+抱歉，您访问的商品已下架
+系统繁忙，请稍后再试
+请开启浏览器的 JavaScript 功能后刷新页面
+無法找到您要的網頁
+服务器内部错误，请联系网站管理员
+Strona nie została znaleziona.
+De pagina die u zoekt bestaat niet.
+Connection timed out. Error code 522
+Too many connections
+Fatal error: Call to undefined function mysql_connect() in /var/www/index.php on line 12
+""".strip().splitlines()
+
+
+def test_notices_in_unseen_wording():
+    finder = residue.Finder()
+    missed = [t for t in HELD_OUT if finder.why(t) != "notice"]
+    print(missed)
+    assert len(missed) <= 0.1 * len(HELD_OUT)
+    for t in ("{{ user.profile.display_name | default('dear customer of ours') | upper }}", "{{#if customer.has_a_really_long_flag_name_here_and_more}}"):
+        assert finder.why("Dear " + t + ", hello") == "placeholder"
+    assert finder.why("说明。 测试测试测试") == "filler" and finder.why("锟斤拷锟斤拷锟斤拷锟斤拷 台灯") is None
+    for t in CONTENT:
+        assert finder.why(t) is None
+
+
 def test_residue(spark):
     texts = [*RESIDUE, *CONTENT]
     df = spark.createDataFrame([(i, t, None, "z") for i, t in enumerate(texts)], "archive_id bigint, title string, cdoc string, title_why string")
