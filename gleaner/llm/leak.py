@@ -101,19 +101,19 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _windows(x: np.ndarray, k: int) -> np.ndarray:
-    """Hash of each k consecutive entries (uint64, wraps around)."""
-    out = np.zeros(len(x) - k + 1, np.uint64)
+def _windows(x: np.ndarray, k: int, at: np.ndarray | None = None) -> np.ndarray:
+    """Hash of each k consecutive entries (uint64, wraps around), or of those that begin at the given places."""
+    out = np.zeros(max(0, len(x) - k + 1) if at is None else len(at), np.uint64)
     for j in range(k):
         out *= _SEED
-        out += x[j : j + len(out)]
+        out += x[j : j + len(out)] if at is None else x[at + j]
     return _mix(out)
 
 
 def _sums(x: np.ndarray, k: int) -> np.ndarray:
     """Sum of each k consecutive entries."""
     total = np.concatenate([[0], np.cumsum(x)])
-    return total[k:] - total[:-k]
+    return total[k:] - total[:-k] if len(x) >= k else total[:0]
 
 
 _TYPED = np.array([0, *[xxhash.xxh64_intdigest(k) for k in ("<number>", "<unit>", "<name>", "<end>")]], np.uint64)
@@ -155,37 +155,56 @@ def _by_token(numbers: frozenset[str], units: frozenset[str]):
     return kind
 
 
+class Form:
+    """Windows of several texts in one form: template hashes, the text each belongs to, whether it counts, and on demand words and slots."""
+
+    def __init__(self, form: int, size: int, typed: np.ndarray, raw: np.ndarray, owner: np.ndarray, slots, counts=None):
+        self.form, self.size, self.raw, self.slots = form, size, raw, slots
+        self.h = _windows(typed, size)
+        self.owner = owner[: len(self.h)]
+        self.counts = self.owner == owner[size - 1 :][: len(self.h)]  # none across the border of two texts
+        if counts is not None:
+            self.counts &= counts
+
+    def words(self, at: np.ndarray) -> np.ndarray:
+        """Hashes of the words of the windows that begin at the given places; 0 in form 1, whose words don't tell."""
+        return np.zeros(len(at), np.uint64) if self.form else _windows(self.raw, self.size, at)
+
+
+def _owners(parts: list) -> np.ndarray:
+    return np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+
+
 class Templates:
-    """Windows of one text in both forms: (form, template hashes, hashes of the words, slots of a window, which windows count)."""
+    """Windows of texts in both forms."""
 
     def __init__(self):
         numbers, units = frozenset(NUMBER_WORDS), frozenset(UNITS)
         self.words, self.tokens = _Words(_by_word(numbers, units)), _Words(_by_token(numbers, units))
 
-    def english(self, text: str):
-        low = text.lower()
-        words = _WORD.findall(low)
-        if len(words) < WORDS:
-            return
+    def english(self, texts: list[str]) -> Iterator[Form]:
+        parts = [_WORD.findall(t.lower()) for t in texts]
+        words = [w for p in parts for w in p]
         raw, kinds = self.words.look_up(words)
-        typed = np.where(kinds > 0, _TYPED[kinds], raw)
-        yield 0, _windows(typed, WORDS), _windows(raw, WORDS), lambda i: [words[j] for j in range(i, i + WORDS) if kinds[j]], None
-        if text == low and not any(c in text for c in ".,"):
-            return
-        tokens = _TOKEN.findall(text)
+        slots = lambda i: [words[j] for j in range(i, i + WORDS) if kinds[j]]
+        yield Form(0, WORDS, np.where(kinds > 0, _TYPED[kinds], raw), raw, _owners(parts), slots)
+        parts = [[*_TOKEN.findall(t), "."] if len(p) >= WORDS else [] for t, p in zip(texts, parts)]
+        tokens = [w for p in parts for w in p]
         hashes, kinds1 = self.tokens.look_up(tokens)
-        yield from self._merged(tokens, hashes, kinds1, WORDS, " ")
+        yield self._merged(tokens, hashes, kinds1, _owners(parts), WORDS, " ")
 
-    def chinese(self, text: str):
+    def chinese(self, texts: list[str]) -> Iterator[Form]:
         letters, numbers = _tables()
-        code = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-        raw = code[letters[np.minimum(code, 0x2FFFF)]]
-        if len(raw) < CHARS:
-            return
+        parts = []
+        for t in texts:
+            code = np.frombuffer(t.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+            parts.append(code[letters[np.minimum(code, 0x2FFFF)]])
+        owner = _owners(parts)
+        raw = np.concatenate([np.zeros(0, np.uint32), *parts])
         kinds = numbers[np.minimum(raw, 0x2FFFF)].astype(np.int8)
         own = raw.astype(np.uint64) + np.uint64(1)
-        typed = np.where(kinds > 0, _TYPED[kinds], own)
-        yield 0, _windows(typed, CHARS), _windows(own, CHARS), lambda i: [chr(raw[j]) for j in range(i, i + CHARS) if kinds[j]], None
+        slots = lambda i: [chr(raw[j]) for j in range(i, i + CHARS) if kinds[j]]
+        yield Form(0, CHARS, np.where(kinds > 0, _TYPED[kinds], own), own, owner, slots)
         flat = raw.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
         kinds1 = np.zeros(len(raw), np.int8)
         for m in _HAN_SLOT.finditer(flat):
@@ -195,16 +214,16 @@ class Templates:
                 kinds1[m.start("number") : m.end("number")] = NUMBER
                 if m["unit"]:
                     kinds1[m.start("unit") : m.end("unit")] = UNIT
-        yield from self._merged(flat, own, kinds1, CHARS, "")
+        yield self._merged(flat, own, kinds1, owner, CHARS, "")
 
     @staticmethod
-    def _merged(tokens, hashes: np.ndarray, kinds: np.ndarray, size: int, glue: str):
+    def _merged(tokens, hashes: np.ndarray, kinds: np.ndarray, owner: np.ndarray, size: int, glue: str) -> Form:
         """Form 1: neighbours of one kind are one placeholder, but for a sentence's first word, whose capital says little.
 
         At least half of a window stays literal, and something differs from form 0.
         """
         first = np.ones(len(kinds), bool)
-        first[1:] = (kinds[1:] == LITERAL) | (kinds[1:] != kinds[:-1])
+        first[1:] = (kinds[1:] == LITERAL) | (kinds[1:] != kinds[:-1]) | (owner[1:] != owner[:-1])
         if glue:
             first[1:2] = True
             first[2:] |= kinds[:-2] == END
@@ -212,16 +231,11 @@ class Templates:
         ends = np.append(starts[1:], len(kinds))
         words = kinds[starts] != END
         starts, ends = starts[words], ends[words]
-        if len(starts) < size:
-            return
         own = kinds[starts]
-        typed = np.where(own > 0, _TYPED[own], hashes[starts])
-        counts = (_sums((own == LITERAL).astype(np.int64), size) * 2 >= size) & (
-            _sums(((own == NAME) | (own == UNIT) | (ends - starts > 1) | ((own == NUMBER) & (size == WORDS))).astype(np.int64), size) > 0
-        )
         slots = lambda i: [glue.join(tokens[starts[j] : ends[j]]).lower() for j in range(i, i + size) if own[j]]
-        h = _windows(typed, size)
-        yield 1, h, np.zeros(len(h), np.uint64), slots, counts
+        differs = (own == NAME) | (own == UNIT) | (ends - starts > 1) | ((own == NUMBER) & (size == WORDS))
+        counts = (2 * _sums(own == LITERAL, size) >= size) & (_sums(differs, size) > 0)
+        return Form(1, size, np.where(own > 0, _TYPED[own], hashes[starts]), hashes[:0], owner[starts], slots, counts)
 
 
 class Wanted:
@@ -246,38 +260,54 @@ def _scan(langs: tuple[str, ...] | None, wanted=None):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = Templates()
         look = wanted.value if wanted is not None else None
-        for batch in batches:
-            rows: list[tuple] = []
-            for ident, lang, text in zip(*(c.to_pylist() for c in batch.columns)):
-                if not text or ident is None:
+
+        def runs(lang: str, ids: list, texts: list[str]) -> Iterator[tuple]:
+            for f in templates.english(texts) if lang == "en" else templates.chinese(texts):
+                at = np.flatnonzero(f.counts if look is None else f.counts & look.among(lang, f.h))
+                if not len(at):
                     continue
-                seen: set[bytes] = set()
-                for as_lang in langs or (lang,):
-                    if as_lang == "zh" and look is not None and look.han and "&" not in text and not _HAN.search(text):
-                        continue
-                    # once with tags removed, once, where that differs, with tags taken for white space
-                    for tag in ("", " ") if as_lang == "en" and ("<" in text or "&" in text) else ("",):
-                        flat = plain(text, tag)
-                        for form, h, r, slots, counts in templates.english(flat) if as_lang == "en" else templates.chinese(flat):
-                            hit = np.ones(len(h), bool) if look is None else look.among(as_lang, h)
-                            at = np.flatnonzero(hit if counts is None else hit & counts)
-                            if not len(at):
-                                continue
-                            for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1):
-                                held = [slots(i) for i in run.tolist()]
-                                key = xxhash.xxh3_128_digest(
-                                    b"".join([as_lang.encode(), bytes([form]), h[run].tobytes(), r[run].tobytes(), repr(held).encode("utf-8", "surrogatepass")])
-                                )
-                                if key not in seen:
-                                    seen.add(key)
-                                    rows.append((ident, as_lang, form, key, h[run].view(np.int64), r[run].view(np.int64), held))
-            columns = list(zip(*rows)) or [()] * 7
+                h, r, owner = f.h[at], f.words(at), f.owner[at]
+                cuts = np.flatnonzero((np.diff(at) > 1) | (np.diff(owner) != 0)) + 1
+                for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(at)]):
+                    held = [f.slots(i) for i in at[a:b].tolist()]
+                    slots = repr(held).encode("utf-8", "surrogatepass")
+                    key = xxhash.xxh3_128_digest(lang.encode() + bytes([f.form]) + h[a:b].tobytes() + r[a:b].tobytes() + slots)
+                    yield ids[owner[a]], lang, f.form, key, h[a:b].view(np.int64), r[a:b].view(np.int64), held
+
+        def some(rows: list[tuple]) -> pa.RecordBatch:
+            """Runs of the texts of some rows (id, lang, text); a run that a text has several times counts once."""
+            found: dict[tuple, tuple] = {}
+            for as_lang in ("en", "zh"):
+                own = [(i, t) for i, lang, t in rows if langs or lang == as_lang]
+                if as_lang == "zh" and look is not None and look.han:
+                    own = [(i, t) for i, t in own if "&" in t or _HAN.search(t)]
+                # once with tags removed, in English also, where that differs, with tags taken for white space
+                flat = [(i, plain(t, "")) for i, t in own]
+                if as_lang == "en":
+                    flat += [(i, plain(t, " ")) for i, t in own if "<" in t or "&" in t]
+                if flat:
+                    for row in runs(as_lang, [i for i, _ in flat], [t for _, t in flat]):
+                        found.setdefault((row[0], row[3]), row)
+            columns = list(zip(*found.values())) or [()] * 7
             longs = pa.list_(pa.int64())
             types = (pa.int64(), pa.string(), pa.int32(), pa.binary(), longs, longs, pa.list_(pa.list_(pa.string())))
-            yield pa.RecordBatch.from_arrays(
+            return pa.RecordBatch.from_arrays(
                 [pa.array(list(c), t) for c, t in zip(columns, types)], names=["id", "lang", "form", "run", "h", "r", "slots"]
             )
 
+        for batch in batches:
+            held: list[tuple] = []
+            size = 0
+            for ident, lang, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if text and ident is not None:
+                    held.append((ident, lang, text))
+                    size += len(text)
+                    if size >= 1 << 18:
+                        yield some(held)
+                        held, size = [], 0
+            if held:
+                yield some(held)
+
     return scan
 
 
