@@ -1,12 +1,14 @@
 """Has this key been seen before? Elias-Fano indexes of sorted hash partitions.
 
-A key is known by 64 bits of its MD5. Within a partition the known signs are a sorted set, kept
-as Elias-Fano code: the high bits in unary, the low bits packed. A probe is a successor search.
-New keys are probed batch by batch in order of arrival and then merged in.
+A key is known by 64 bits of its MD5. The leading bits choose the partition and needn't be kept;
+the rest of a partition's signs are a sorted set, kept as Elias-Fano codes: the high bits in unary,
+the low bits packed. The codes are rows of a table: a new batch is probed against them by successor
+search and merged in, one partition at a time, which makes the next generation of the table.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.session import written
+
 _ONE = np.uint64(1)
 
 
@@ -41,6 +45,15 @@ class EliasFano:
             over = (at & 63) + low > 64
             np.bitwise_or.at(self.packed, word[over] + 1, rest[over] >> (np.uint64(64) - shift[over]))
 
+    @classmethod
+    def load(cls, n: int, bits: int, low_bits: int, zeros: int, words: bytes, packed: bytes) -> EliasFano:
+        """A code as its row keeps it."""
+        code = cls.__new__(cls)
+        code.n, code.bits, code.low_bits, code.zeros = n, bits, low_bits, zeros
+        code.words, code.packed = np.frombuffer(words, np.uint64), np.frombuffer(packed, np.uint64)
+        code.zeros_before = np.concatenate([[0], np.cumsum(np.bitwise_count(~code.words).astype(np.int64))])
+        return code
+
     @property
     def nbytes(self) -> int:
         return self.words.nbytes + self.packed.nbytes + self.zeros_before.nbytes
@@ -145,30 +158,99 @@ def sign_of(key: Column) -> Column:
     return F.conv(F.substr(F.md5(key), F.lit(1), F.lit(16)), 16, -10).cast("bigint")
 
 
-def _fresh(bits: int):
-    """Rows (kind, sign, id) sorted by kind, then sign (known keys) or id (new ones); gives the ids of unknown signs."""
-    shift = np.uint64(64 - bits)
+CODES = "part int, n bigint, bits int, low_bits int, zeros bigint, words binary, packed binary"
+
+
+def part_bits(rows: int, cores: int, keys_per_part: int = 1 << 20) -> int:
+    """Leading bits that choose the partition: about keys_per_part keys each, and at least two partitions a core."""
+    return max(1, math.ceil(math.log2(max(1, rows / keys_per_part))), math.ceil(math.log2(2 * cores)))
+
+
+def _placed(df: DataFrame, bits: int, lead: int) -> DataFrame:
+    """df with `part`, the leading bits of the kept bits of `sign`, and `rest`, the others."""
+    kept = F.shiftrightunsigned("sign", 64 - bits) if bits < 64 else F.col("sign")
+    part = F.shiftrightunsigned("sign", 64 - lead).cast("int")
+    return df.withColumn("part", part).withColumn("rest", kept.bitwiseAND((1 << (bits - lead)) - 1))
+
+
+def _row(part: int, code: EliasFano) -> tuple:
+    return part, code.n, code.bits, code.low_bits, code.zeros, code.words.tobytes(), code.packed.tobytes()
+
+
+def _table(rows: list[tuple]) -> pa.Table:
+    types = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+    names = ("part", "n", "bits", "low_bits", "zeros", "words", "packed")
+    return pa.table({k: pa.array([r[j] for r in rows], t) for j, (k, t) in enumerate(zip(names, types))})
+
+
+def _index(codes: pa.Table, bits: int, max_segment: int) -> SeenIndex:
+    index = SeenIndex(bits, max_segment)
+    for r in codes.sort_by([("n", "descending")]).to_pylist():
+        index.segments.append(EliasFano.load(r["n"], r["bits"], r["low_bits"], r["zeros"], r["words"], r["packed"]))
+    return index
+
+
+def encode(signs: DataFrame, bits: int, lead: int, max_segment: int = 1 << 22) -> DataFrame:
+    """The table of codes of a column `sign` (nulls and repeats left out); a partition's signs are coded as they stream by."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = SeenIndex(bits)
+        part, held, size = None, [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal held, size
+            if size:
+                values = np.unique(np.concatenate(held))
+                yield from _table([_row(part, EliasFano(values, bits - lead))]).to_batches()
+            held, size = [], 0
+
         for batch in batches:
-            kind = batch.column(0).to_numpy(zero_copy_only=False)
-            sign = batch.column(1).to_numpy(zero_copy_only=False)
-            ids = batch.column(2).to_numpy(zero_copy_only=False)
-            x = (sign.view(np.uint64) ^ np.uint64(1 << 63)) >> shift
-            for which in (0, 1):
-                own = kind == which
-                keys = x[own]
-                if not len(keys):
+            parts, rest = (batch.column(j).to_numpy(zero_copy_only=False) for j in (0, 1))
+            cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(parts)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
                     continue
-                distinct, first = np.unique(keys, return_index=True)  # the first in order of arrival
-                unknown = ~index.contains(distinct)
-                index.merge(distinct[unknown])
-                if which:
-                    out = ids[own][first[unknown]]
-                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["id"])
+                if parts[a] != part or size >= max_segment:
+                    yield from flush()
+                    part = int(parts[a])
+                held.append(rest[a:b].view(np.uint64))
+                size += b - a
+        yield from flush()
+
+    known = signs.filter("sign IS NOT NULL").select("sign").distinct()  # combined before the shuffle
+    placed = _placed(known, bits, lead).select("part", "rest")
+    return placed.repartitionById(1 << lead, F.col("part")).sortWithinPartitions("part", "rest").mapInArrow(scan, CODES)
+
+
+def _batch(new: DataFrame, bits: int, lead: int) -> DataFrame:
+    """The first id of each kept sign of a batch: a hot key meets its partition combined."""
+    placed = _placed(new.filter("sign IS NOT NULL"), bits, lead)
+    return placed.groupBy("part", "rest").agg(F.min("id").alias("id"))
+
+
+def unknown(codes: DataFrame, new: DataFrame, bits: int, lead: int, max_segment: int = 1 << 22) -> DataFrame:
+    """Ids of the new records (`sign`, `id`) whose sign isn't coded, the first id of each sign. Reads nothing but the codes."""
 
-    return scan
+    def probe(old: pa.Table, batch: pa.Table) -> pa.Table:
+        rest = batch["rest"].to_numpy().view(np.uint64)
+        known = _index(old, bits - lead, max_segment).contains(rest)
+        return pa.table({"id": batch["id"].filter(pa.array(~known))})
+
+    firsts = _batch(new, bits, lead)
+    return codes.groupBy("part").cogroup(firsts.groupBy("part")).applyInArrow(probe, "id bigint")
+
+
+def next_generation(codes: DataFrame, new: DataFrame, bits: int, lead: int, max_segment: int = 1 << 22) -> DataFrame:
+    """The table of codes with the batch's signs merged in: equal or smaller segments are decoded and coded anew, the others stay."""
+
+    def merge(old: pa.Table, batch: pa.Table) -> pa.Table:
+        index = _index(old, bits - lead, max_segment)
+        rest = np.unique(batch["rest"].to_numpy().view(np.uint64))
+        index.merge(rest[~index.contains(rest)])
+        part = (old if old.num_rows else batch)["part"][0].as_py()
+        return _table([_row(part, s) for s in index.segments])
+
+    firsts = _batch(new, bits, lead).drop("id")
+    return codes.groupBy("part").cogroup(firsts.groupBy("part")).applyInArrow(merge, CODES)
 
 
 def fresh_ids(known: DataFrame, new: DataFrame, bits: int = 64) -> DataFrame:
@@ -179,13 +261,10 @@ def fresh_ids(known: DataFrame, new: DataFrame, bits: int = 64) -> DataFrame:
     (a new key taken for a known one) at a rate near n / 2**bits. With 64, only two keys with the
     same 64 bits of MD5 are confused.
     """
-    firsts = new.filter("sign IS NOT NULL").groupBy("sign").agg(F.min("id").alias("id"))  # a hot key meets its reducer combined
-    old = known.filter("sign IS NOT NULL").select("sign").distinct()
-    both = old.select(F.lit(0).alias("kind"), "sign", F.col("sign").alias("id")).unionByName(
-        firsts.select(F.lit(1).alias("kind"), "sign", "id")
-    )
-    place = F.shiftrightunsigned("sign", 64 - min(bits, 32))  # equal kept bits meet in one partition
-    return both.repartition(place).sortWithinPartitions("kind", "id").mapInArrow(_fresh(bits), "id bigint")
+    rows = max(known.count(), new.count())
+    lead = min(bits - 1, part_bits(rows, known.sparkSession.sparkContext.defaultParallelism))
+    codes = written(encode(known, bits, lead), "seen-codes")
+    return unknown(codes, new, bits, lead)
 
 
 def seen_before(known: DataFrame, new: DataFrame, id_col: str, url_col: str, bits: int = 64) -> DataFrame:
