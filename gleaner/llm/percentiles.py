@@ -1,9 +1,9 @@
 """Percentiles by cumulative frequencies, all in SQL expressions.
 
-Rows are reduced to counts per group and value. Value ranges (a deterministic, order-preserving
-split of the number line) take the place of sorted partitions: totals per range give offsets,
-running sums inside the one range that holds a target rank give the value. Counts of days or
-partitions add up, so states combine without loss.
+Rows are reduced to counts per group and value. The counts are range-sorted by group and value, so
+that a hot group spreads over as many partitions as it fills; totals per partition and group give
+offsets, which the running sums inside a partition are compared with to pick the first value that
+reaches a target rank. Counts of days or partitions add up, so states combine without loss.
 """
 
 from __future__ import annotations
@@ -17,11 +17,12 @@ METRICS = ["crawl_time", "connect_time", "donwload_speed", "response_code"]
 
 
 def _rounded(value: Column, rel_error: float) -> Column:
-    """The value, or with rel_error > 0 the middle of its logarithmic bin, off by at most that share."""
+    """The value, or with rel_error > 0 the middle of its logarithmic bin, off by at most that share of the value."""
     if not rel_error:
         return value
     base = 2 * F.lit(rel_error) / (1 - rel_error) + 1
-    return F.when(value == 0, value).otherwise(F.pow(base, F.floor(F.log(value) / F.log(base))) * (1 + base) / 2)
+    edge = F.pow(base, F.floor(F.log(value) / F.log(base)))
+    return F.when(value == 0, value).otherwise(edge * (2 * base / (1 + base)))
 
 
 def value_counts(
@@ -39,8 +40,10 @@ def value_counts(
         *[c.alias(k) for k, c in keys.items()],
         *[F.col(m).cast("double").alias(m) for m in metrics],
     )
-    first = Window.partitionBy("_id").orderBy(*keys, *metrics)
-    once = parts.withColumn("_r", F.row_number().over(first)).filter("_r = 1 OR _id IS NULL").drop("_r", "_id")
+    # rows without id need no comparison: a number of their own spreads them and keeps each
+    alone = F.when(F.col("_id").isNull(), F.monotonically_increasing_id())
+    first = Window.partitionBy("_id", "_alone").orderBy(*keys, *metrics)
+    once = parts.withColumn("_alone", alone).withColumn("_r", F.row_number().over(first)).filter("_r = 1").drop("_r", "_id", "_alone")
     long = once.unpivot(list(keys), metrics, "metric", "value").filter(
         (F.col("value") >= 0) & (F.col("value") < float("inf")) & ~F.isnan("value")
     )
@@ -53,42 +56,29 @@ def combine(states: DataFrame, keys: list[str]) -> DataFrame:
     return states.groupBy(*keys, "metric", "value").agg(F.sum("n").alias("n"))
 
 
-def percentiles(states: DataFrame, keys: list[str], percents: tuple[int, ...] = (50, 90, 99), splits: int = 2) -> DataFrame:
+def percentiles(states: DataFrame, keys: list[str], percents: tuple[int, ...] = (50, 90, 99)) -> DataFrame:
     """Per group and metric: n and p<percent>, the smallest value whose running count reaches ceil(percent % of n).
 
-    splits: value ranges per factor of two; a hot group's values lie in so many ranges, each its
-    own task's work. An empty state gives no rows.
+    An empty state gives no rows.
     """
     group = [*keys, "metric"]
-    # null-safe group ids, so that joins below keep null keys
-    ranged = written(  # read twice: for the totals and for the ranges that hold a target
-        states.withColumn(
-            "bin", F.when(F.col("value") == 0, F.lit(-1000000)).otherwise(F.floor(F.log2("value") * splits)).cast("int")
-        ),
-        "value-counts",
+    # written once: the range sort reads its input twice, to sample it and to sort it
+    counts = written(states.select(F.struct(*group).alias("_g"), "value", "n"), "value-counts")  # a struct keeps null keys equal
+    ranged = written(counts.repartitionByRange("_g", "value").withColumn("_p", F.spark_partition_id()), "ranged-counts")
+    upto = Window.partitionBy("_g").orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pieces = (
+        ranged.groupBy("_p", "_g")
+        .agg(F.sum("n").alias("_n"))
+        .withColumn("_upto", F.sum("_n").over(upto))
+        .withColumn("_total", F.sum("_n").over(Window.partitionBy("_g")))
     )
-    totals = ranged.groupBy(*group, "bin").agg(F.sum("n").alias("bin_n"))
-    upto = Window.partitionBy(*group).orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*group)
-    placed = totals.withColumn("upto", F.sum("bin_n").over(upto)).withColumn("total", F.sum("bin_n").over(whole))
-    rank = lambda p: ((F.col("total") * p + 99) / 100).cast("bigint")
-    targets = (
-        placed.withColumn("target", F.explode(F.array(*[F.struct(F.lit(p).alias("p"), rank(p).alias("rank")) for p in percents])))
-        .filter("target.rank <= upto AND target.rank > upto - bin_n")
-        .groupBy(*group, "bin", "total")
-        .agg(F.collect_list(F.struct(F.col("target.p").alias("p"), (F.col("target.rank") - F.col("upto") + F.col("bin_n")).alias("rank"))).alias("targets"))
-    )
-    a, b = ranged.alias("a"), targets.alias("b")
-    same = F.lit(True)
-    for c in [*group, "bin"]:
-        same = same & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
-    near = a.join(b, same).select("a.*", "b.total", "b.targets")
-    within = Window.partitionBy(*group, "bin").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    run = near.withColumn("run", F.sum("n").over(within))
-    hit = lambda p: F.min(
-        F.when(
-            F.exists("targets", lambda t: (t["p"] == p) & (F.col("run") >= t["rank"])),
-            F.col("value"),
-        )
-    ).alias(f"p{p}")
-    return run.groupBy(*group).agg(F.max("total").alias("n"), *[hit(p) for p in percents])
+    # ranks that a partition holds of a group, counted from its first row of the group
+    ranks = F.array(*[F.struct(F.lit(p).alias("p"), (F.floor((F.col("_total") * p + 99) / 100) - F.col("_upto") + F.col("_n")).alias("rank")) for p in percents])
+    targets = pieces.select("_p", "_g", "_total", F.filter(ranks, lambda t: (t["rank"] > 0) & (t["rank"] <= F.col("_n"))).alias("_targets"))
+    within = Window.partitionBy("_p", "_g").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = ranged.withColumn("_run", F.sum("n").over(within)).join(targets.filter(F.size("_targets") > 0), ["_p", "_g"])
+    reached = running.select(
+        "_g", "_total", "value", F.filter("_targets", lambda t: (t["rank"] <= F.col("_run")) & (t["rank"] > F.col("_run") - F.col("n"))).alias("_hit")
+    ).filter(F.size("_hit") > 0)
+    value_of = lambda p: F.max(F.when(F.exists("_hit", lambda t: t["p"] == p), F.col("value"))).alias(f"p{p}")
+    return reached.groupBy("_g").agg(F.max("_total").alias("n"), *[value_of(p) for p in percents]).select("_g.*", "n", *[f"p{p}" for p in percents])
