@@ -1,10 +1,11 @@
 """Text decoded with a wrong encoding: improbable runs and inverse mappings inside them.
 
 Adjacent character pairs of the whole corpus are scored by their term of the corpus' mutual
-information, p(ab) * log(p(ab) / (p(a) p(b))). Within a text, maximum-scoring segments of
-improbable pairs are isolated, and only there encodings are undone: encode with the encoding
-that was used wrongly, decode with the right one. A run is damaged if the outcome consists of
-probable pairs where the run did not, or if it holds marks that only damage leaves.
+information, p(ab) * log(p(ab) / (p(a) p(b))). A text's improbable runs are its maximal scoring
+segments, where a pair scores the higher the smaller its term is. Only inside runs encodings are
+undone: encode with the encoding that was used wrongly, decode with the right one. A run is damaged
+if the outcome consists of probable pairs where the run did not, if it is what replacement characters
+turn into, or if it holds characters that no text has (replacement, C1 controls, private use).
 """
 
 from __future__ import annotations
@@ -25,10 +26,10 @@ USED = "cp1252 gb18030 cp950 cp932 euc_jp euc_kr cp1251 koi8_r mac_roman cp866 i
 OWN = "utf_8 gb18030 cp950 cp932 euc_jp cp1251 koi8_r cp1252 mac_roman iso8859_5 cp866 euc_kr iso8859_2".split()
 SINGLE = frozenset("cp1252 cp1251 koi8_r mac_roman cp866 iso8859_5 cp1250 iso8859_2 cp437 iso8859_15 mac_cyrillic".split())
 
-# Replacement characters, C1 controls, private use, and what replacement characters turn into.
-MARKS = re.compile("[�\x80-\x9f-]|锟斤|斤拷|锟|ï¿½|嚙踝蕭|嚙|烫烫烫|屯屯屯")
+# Characters that Unicode gives no text: replacement, C1 controls, private use.
+MARKS = re.compile("[\ufffd\x80-\x9f\ue000-\uf8ff]")
+LOST = "\ufffd".encode()  # bytes that no mapping brings back
 
-_LOST = re.compile("�|锟斤|斤拷|嚙踝蕭")  # bytes that no mapping brings back
 _WIDE = re.compile(r"[^\x00-\x7f](?:[\x20-\x7f]{0,2}[^\x00-\x7f])*")
 
 
@@ -52,8 +53,8 @@ def pair_counts(texts: DataFrame) -> DataFrame:
     return spread(texts).mapInArrow(scan, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
-def probable_pairs(counts: DataFrame, least: float) -> tuple[dict[int, float], frozenset[int]]:
-    """log p of each pair whose term of the mutual information is at least `least`, and those that reach four times it.
+def probable_pairs(counts: DataFrame, least: float) -> dict[str, tuple[float, float]]:
+    """log p and the term of the mutual information of each pair whose term is at least `least`.
 
     A pair of probability p has at most the term p * log(1 / p) (its characters can't be rarer
     than the pair), so fewer than about 16 / least pairs qualify: the bound of what is
@@ -72,18 +73,48 @@ def probable_pairs(counts: DataFrame, least: float) -> tuple[dict[int, float], f
         .withColumn("p", F.col("n") / total)
         .withColumn("term", F.col("p") * F.log(F.col("n") * total / (F.col("n_a") * F.col("n_b"))))
         .filter(F.col("term") >= least)
-        .select("pair", F.log("p").alias("logp"), (F.col("term") >= 4 * least).alias("common"))
+        .select("a", "b", F.log("p").alias("logp"), "term")
     )
     few = terms.toPandas()
-    return dict(zip(few.pair.tolist(), few.logp.tolist())), frozenset(few.pair[few.common].tolist())
+    return {chr(a) + chr(b): (p, t) for a, b, p, t in zip(few.a, few.b, few.logp, few.term)}
 
 
-class Restorer:
-    """Finds and undoes wrong decodings, given the corpus' probable pairs."""
+def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
+    """All maximal scoring segments (start, end, score) of a sequence of scores, in one pass.
+
+    None of them can be extended or cut without losing score, and they don't overlap.
+    """
+    found: list[list] = []  # start, end, sum before the start, sum up to the end
+    total = 0.0
+    for i, s in enumerate(scores):
+        if s <= 0:
+            total += s
+            continue
+        own = [i, i + 1, total, total + s]
+        total += s
+        while True:
+            j = len(found) - 1
+            while j >= 0 and found[j][2] >= own[2]:
+                j -= 1
+            if j < 0 or found[j][3] >= own[3]:
+                found.append(own)
+                break
+            own[0], own[2] = found[j][0], found[j][2]
+            del found[j:]
+    return [(a, b, after - before) for a, b, before, after in found]
 
-    def __init__(self, logp: dict[int, float], floor: float, common: frozenset[int]):
-        self.logp, self.floor, self.common = logp, floor, common
-        self.known: dict[str, tuple[float, str, str, float] | None] = {}
+
+class Restorer:
+    """Finds and undoes wrong decodings, given the corpus' probable pairs (`probable_pairs`) and the least term."""
+
+    def __init__(self, pairs: dict[str, tuple[float, float]], least: float, depth: int = 3, marks: bool = True):
+        self.logp, self.floor, self.depth, self.marks = {k: p for k, (p, _) in pairs.items()}, math.log(least) - 4, depth, marks
+        # 1 for pairs below the least term, 0 at four times it, -1 from sixteen times on
+        self.score = {k: min(1.0, max(-1.0, math.log(4 * least / t) / math.log(4))) for k, (_, t) in pairs.items()}
+        for used in USED:  # what replacement characters turn into is improbable, however often it occurs
+            turned = (LOST * 4).decode(used, "ignore")
+            self.score |= {p: 1.0 for p in map("".join, zip(turned, turned[1:])) if not p.isascii()}
+        self.known: dict[str, tuple | None] = {}
         self.singles = {}
         for name in SINGLE:
             table = {}
@@ -96,32 +127,24 @@ class Restorer:
                 table.setdefault(chr(byte), byte)
             self.singles[name] = table
 
-    def _scores(self, text: str) -> list[float]:
-        """log p of each adjacent pair; 0 for pairs of ASCII characters."""
-        get, floor = self.logp.get, self.floor
-        return [
-            0.0 if a < "\x80" and b < "\x80" else get(ord(a) << 21 | ord(b), floor) for a, b in zip(text, text[1:])
-        ]
-
     def runs(self, text: str) -> list[tuple[int, int]]:
-        """Maximum-scoring segments of pairs that aren't common (+1 each, -1 for common ones, -0.2 for ASCII), as character spans.
+        """Maximal scoring segments of the pairs' scores (-0.2 for pairs of ASCII), as character spans.
 
-        Damage that occurs often makes pairs that are probable, though hardly common: the higher
-        bar here lets them be tried.
+        Damage that occurs often makes pairs that are probable, though hardly common: that they
+        score up to four times the least term lets them be tried. A single pair of two Han
+        characters is no run: damage changes more than one of them.
         """
-        spans, best, start, total, at = [], 0.0, 0, 0.0, (0, 0)
-        for i, (a, b) in enumerate(zip(text, text[1:])):
-            gain = -0.2 if a < "\x80" and b < "\x80" else -1.0 if ord(a) << 21 | ord(b) in self.common else 1.0
-            if total <= 0:
-                if best > 0:
-                    spans.append(at)
-                total, start, best = 0.0, i, 0.0
-            total += gain
-            if total > best:
-                best, at = total, (start, i + 2)
-        if best > 0:
-            spans.append(at)
-        return spans
+        get = self.score.get
+        scores = [-0.2 if p.isascii() else get(p, 1.0) for p in map("".join, zip(text, text[1:]))]
+        if self.marks and MARKS.search(text):
+            for m in MARKS.finditer(text):
+                for i in (m.start() - 1, m.start()):
+                    if 0 <= i < len(scores):
+                        scores[i] = 1.0
+        han = lambda c: "㐀" <= c <= "鿿"
+        return [(a, b + 1) for a, b, _ in maximal_segments(scores) if b - a > 1 or not (han(text[a]) and han(text[b]))] or (
+            [(0, 1)] if len(text) == 1 and self.marks and MARKS.search(text) else []
+        )
 
     def _encode(self, text: str, used: str) -> bytes | None:
         if used in self.singles:
@@ -135,40 +158,44 @@ class Restorer:
         except UnicodeEncodeError:
             return None
 
-    def _undo(self, run: str, depth: int = 2) -> list[tuple[str, str]]:
-        """What the run may have been: (text, encodings)."""
-        out, seen = [], {run}
+    def _undo(self, run: str, depth: int) -> tuple[list[tuple[str, str]], bool]:
+        """What the run may have been, as (text, encodings), and whether it is what lost characters turn into."""
+        out, seen, lost = [], {run}, False
         for used in USED:
             coded = self._encode(run, used)
             if coded is None or len(coded) == len(run) and run.isascii():
                 continue
+            lost = lost or LOST in coded
             for own in OWN:
-                if own == used:
-                    continue
+                if own == used or own != "utf_8" and depth < self.depth - 1:
+                    continue  # more than two steps only happen through UTF-8
                 try:
                     back = coded.decode(own)
                 except UnicodeDecodeError:
                     continue
-                if back in seen or MARKS.search(back) and depth < 2:
+                if back in seen or depth < self.depth and MARKS.search(back):
                     continue
                 seen.add(back)
                 out.append((back, f"{own}>{used}"))
                 if depth > 1 and own == "utf_8" and not back.isascii():
-                    out += [(b, f"{e} {own}>{used}") for b, e in self._undo(back, 1) if b not in seen]
-        return out
+                    deeper, gone = self._undo(back, depth - 1)
+                    lost = lost or gone
+                    out += [(b, f"{e} {own}>{used}") for b, e in deeper if b not in seen]
+        return out, lost
 
-    def _rate(self, text: str, left: str, right: str) -> tuple[float, float, int]:
+    def _rate(self, text: str) -> tuple[float, float, int]:
         """Sum of log p, share of probable pairs and number of pairs with a non-ASCII character."""
-        scores = [s for s in self._scores(left + text + right) if s != 0.0]
+        get, floor = self.logp.get, self.floor
+        scores = [get(p, floor) for p in map("".join, zip(text, text[1:])) if not p.isascii()]
         if not scores:
             return 0.0, 1.0, 0
-        return sum(scores), sum(s > self.floor for s in scores) / len(scores), len(scores)
+        return sum(scores), sum(s > floor for s in scores) / len(scores), len(scores)
 
     def _hopeless(self, text: str) -> bool:
         """Whether too many pairs are improbable for a share of 0.6; stops at the first that settles it."""
         logp, left = self.logp, 0.4 * (len(text) - 1)
-        for a, b in zip(text, text[1:]):
-            if (a > "\x7f" or b > "\x7f") and ord(a) << 21 | ord(b) not in logp:
+        for p in map("".join, zip(text, text[1:])):
+            if p not in logp and not p.isascii():
                 left -= 1
                 if left < 0:
                     return True
@@ -178,23 +205,29 @@ class Restorer:
         """Whether text is damaged, what it was (null if that can't be had) and the encodings undone."""
         if not text or text.isascii():
             return False, None, None
-        marked = bool(MARKS.search(text))
-        if _LOST.search(text):
-            return True, None, None
         spans = self.runs(text)
-        if not spans and not marked:
+        if not spans:
             return False, None, None
         wide = [m.span() for m in _WIDE.finditer(text)]
-        fixed, undone, shift, done = text, [], 0, 0
-        for a, b in spans or wide:
+        fixed, undone, shift, done, damaged, lost = text, [], 0, 0, False, False
+        for a, b in spans:
             if a < done:
                 continue
+            marked = self.marks and bool(MARKS.search(text, a, b))
+            damaged = damaged or marked
+            if "\ufffd" in text[a:b]:
+                lost = lost or self.marks  # nothing around a lost character can be undone as a whole
+                continue
             outer = [(x, y) for x, y in wide if x < b and y > a]
             left, right = min([a, *[x for x, _ in outer]]), max([b, *[y for _, y in outer]])
             best = None
             # the run, the run up to where its non-ASCII surroundings end, and one character more or less
             for x, y in dict.fromkeys([(left, right), (a, b), (left, b), (a, right), (a + 1, b), (a, b - 1), (a + 1, b - 1), (a - 1, b)]):
-                if x < done or y - x < 1 or (got := self._best(text[x:y], text[:x][-1:], text[y:][:1])) is None:
+                if x < done or y - x < 1:
+                    continue
+                got, gone = self._best(text[x:y], text[:x][-1:], text[y:][:1])
+                lost = lost or gone
+                if got is None:
                     continue
                 if best is None or got[0] > best[0]:
                     best = (*got, x, y)
@@ -206,22 +239,24 @@ class Restorer:
                 shift += len(back) - (y - x)
                 undone.append(how)
                 done = y
-        whole = undone and not MARKS.search(fixed)
-        return marked or bool(undone), fixed if whole else None, " + ".join(undone) or None
+        whole = undone and not lost and not MARKS.search(fixed)
+        return damaged or lost or bool(undone), fixed if whole else None, " + ".join(undone) or None
 
-    def _best(self, run: str, left: str, right: str) -> tuple[float, str, str, float] | None:
-        """Gain, text, encodings and share of probable pairs of the best inverse mapping that makes a run probable."""
+    def _best(self, run: str, left: str, right: str) -> tuple[tuple[float, str, str, float] | None, bool]:
+        """Gain, text, encodings and share of probable pairs of the best inverse mapping that makes a run probable; whether characters are lost."""
         key = left + "\0" + run + "\0" + right
         if key in self.known:
             return self.known[key]
-        best = None
+        best, lost = None, False
         if not run.isascii():
-            before, share, _ = self._rate(run, left, right)
+            before, share, _ = self._rate(left + run + right)
             few = sum(c > "\x7f" for c in run) < 3
-            for back, how in self._undo(run):
-                if self._hopeless(left + back + right):
+            options, lost = self._undo(run, self.depth)
+            for back, how in options:
+                whole = left + back + right
+                if self._hopeless(whole):
                     continue
-                after, share_after, pairs = self._rate(back, left, right)
+                after, share_after, pairs = self._rate(whole)
                 if not pairs or share_after < 0.6 or after <= before + 2 + 0.5 * pairs:
                     continue
                 used, own = how.split(" ")[-1].split(">")[::-1]
@@ -232,8 +267,8 @@ class Restorer:
                     best = gain, back, how, share_after
         if len(self.known) >= 1 << 17:
             self.known.clear()
-        self.known[key] = best
-        return best
+        self.known[key] = best, lost
+        return best, lost
 
 
 def _same(a: str, b: str) -> bool:
@@ -241,12 +276,13 @@ def _same(a: str, b: str) -> bool:
     return bool(a and b) and a > "\x7f" and b > "\x7f" and a.isalpha() and b.isalpha() and ord(a) >> 8 == ord(b) >> 8
 
 
-def damaged(tables: list[tuple[str, DataFrame]], least: float = 1e-4) -> DataFrame:
+def damaged(tables: list[tuple[str, DataFrame]], least: float = 1e-4, depth: int = 3, marks: bool = True) -> DataFrame:
     """tab, rec_id, title, restored and undone of every damaged text; tables: (name, DataFrame of rec_id, title).
 
     restored is null where the text can't be had. Null and empty titles are no case; copies each
     get their row. Pairs are counted over all titles of all tables. least: the term of the mutual
-    information from which a pair is probable.
+    information from which a pair is probable. depth: how many wrong decodings of one text are
+    undone one after the other. marks: whether characters that no text has count as evidence.
     """
     spark = tables[0][1].sparkSession
     rows = None
@@ -254,16 +290,16 @@ def damaged(tables: list[tuple[str, DataFrame]], least: float = 1e-4) -> DataFra
         part = df.select(F.lit(name).alias("tab"), F.col("rec_id").cast("bigint").alias("rec_id"), "title").filter("title <> ''")
         rows = part if rows is None else rows.unionByName(part)
     counts = written(pair_counts(rows.select("title")), "pairs")  # read several times below
-    pairs = probable_pairs(counts, least)
-    floor = math.log(least) - 4
-    shared = spark.sparkContext.broadcast(pairs)
+    shared = spark.sparkContext.broadcast(probable_pairs(counts, least))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(shared.value[0], floor, shared.value[1])
+        restorer = Restorer(shared.value, least, depth, marks)
         for batch in batches:
             keep, restored, undone = [], [], []
-            for i, text in enumerate(batch.column(2).to_pylist()):
-                found, fixed, how = restorer.restore(text)
+            titles = batch.column(2).to_pylist()
+            once = {t: restorer.restore(t) for t in set(titles)}  # copies are rated once
+            for i, text in enumerate(titles):
+                found, fixed, how = once[text]
                 if found:
                     keep.append(i)
                     restored.append(fixed)

@@ -4,6 +4,8 @@ import random
 from pathlib import Path
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 
 from gleaner.llm import leak, mojibake, residue, tokens
 
@@ -60,6 +62,30 @@ def test_damage_is_found_and_undone(spark):
     assert got[5000].restored is None and mojibake.damaged([("t", df.limit(0))]).collect() == []
 
 
+@given(st.lists(st.floats(-3, 3), max_size=40))
+def test_maximal_segments(scores):
+    """Against the definition: the best segment, then the same on both sides of it."""
+    def best(a, b):
+        options = [(sum(scores[i:j]), -(j - i), -i, i, j) for i in range(a, b) for j in range(i + 1, b + 1)]
+        top = max(options, default=(0,))
+        if top[0] <= 1e-9:
+            return []
+        i, j = top[3:]
+        return [*best(a, i), (i, j), *best(j, b)]
+
+    got = [(a, b) for a, b, s in mojibake.maximal_segments(scores) if s > 1e-9]
+    assert sum(sum(scores[a:b]) for a, b in got) == pytest.approx(sum(sum(scores[a:b]) for a, b in best(0, len(scores))))
+
+
+def test_damage_without_marks_and_twice(spark):
+    rows = [(i, CLEAN[i % len(CLEAN)]) for i in range(600)]
+    twice = "Étagère réglable".encode().decode("cp1252").encode().decode("cp1252")
+    df = spark.createDataFrame([*rows, (700, twice), (701, "锟斤拷锟斤拷台灯"), (702, "é"), (703, "\ufffd")], "rec_id bigint, title string")
+    got = {x.rec_id: x.restored for x in mojibake.damaged([("t", df)]).collect()}
+    assert got == {700: "Étagère réglable", 701: None, 703: None}
+    assert {x.rec_id for x in mojibake.damaged([("t", df)], marks=False).collect()} == {700, 701}
+
+
 RESIDUE = {
     "{{ title }} - Night buses": "placeholder",
     "Dear ${name}, thank you": "placeholder",
