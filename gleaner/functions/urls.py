@@ -139,3 +139,13 @@ def priority(score: Column, jitter_of: Column) -> Column:
         .when(score >= 10, 30 + F.pmod(h, F.lit(20)))
         .otherwise(50 + F.pmod(h, F.lit(50)))
     )
+
+
+def redirect_target(url: Column, unscramble=None) -> Column:
+    """Where a redirect link ('/link?url=...') leads: the url it carries, decoded; other urls pass.
+
+    unscramble: what makes a url of a value that is none (a Column function that holds the service's key); without it such targets are null.
+    """
+    carried = F.coalesce(F.try_url_decode(query_param(url, "url")), query_param(url, "url"))
+    other = unscramble(query_param(url, "url")) if unscramble else F.lit(None).cast("string")
+    return F.when(~url.contains("/link?url="), url).when(carried.rlike("^https?://"), carried).otherwise(other)

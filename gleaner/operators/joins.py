@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleaner.operators import ranged
+
 
 def micros(ts: Column | str) -> Column:
     """Microseconds since the epoch of a timestamp with or without zone."""
@@ -14,36 +16,49 @@ def micros(ts: Column | str) -> Column:
 def as_of(left: DataFrame, right: DataFrame, keys: list[str], time: str, tie: str, value: str, out: str) -> DataFrame:
     """Each left row with `value` of the latest right row of its keys whose time is not later; null if none.
 
-    One shuffle of the union by keys and a window in place of a join on a range. A right row at
-    the same time counts; of several at one time, that with the largest value. Null times never
-    match. left keeps its columns; `tie` is a left column that names its rows uniquely.
+    One range sort of the union by keys and time in place of a join on a range; a hot key spreads
+    over as many partitions as it fills. A right row at the same time counts; of several at one
+    time, that with the largest value. Null times never match. left keeps its columns; `tie` is a
+    left column that names its rows uniquely.
     """
     l = left.withColumn("_side", F.lit(1)).withColumn("_value", F.lit(None).cast(right.schema[value].dataType))
     r = right.select(*keys, time, F.col(value).alias("_value")).withColumn("_side", F.lit(0))
-    both = r.unionByName(l, allowMissingColumns=True)
-    w = Window.partitionBy(*keys).orderBy(F.col(time).asc_nulls_first(), "_side", "_value", tie).rowsBetween(Window.unboundedPreceding, 0)
-    last = F.last(F.when(F.col("_side") == 0, F.struct(F.col(time).alias("at"), F.col("_value").alias("v"))), True).over(w)
+    order = [F.col(time).asc_nulls_first(), "_side", "_value", tie]
+    both = ranged.pieces(r.unionByName(l, allowMissingColumns=True), keys, order)
+    shown = F.when(F.col("_side") == 0, F.struct(F.col(time).alias("at"), F.col("_value").alias("v")))
+    last = F.last(shown, True).over(ranged.inside(order).rowsBetween(Window.unboundedPreceding, 0))
+    before = both.groupBy("_p", "_k").agg(F.max(shown).alias("_m")).withColumn("_before", F.last("_m", True).over(ranged.earlier()))
+    met = ranged.with_offsets(both.withColumn("_last", last), before.filter("_before IS NOT NULL").select("_p", "_k", "_before"))
     return (
-        both.withColumn("_last", last)
+        met.withColumn("_last", F.coalesce("_last", "_before"))
         .filter("_side = 1")
         .withColumn(out, F.when(F.col(time).isNotNull() & F.col("_last.at").isNotNull(), F.col("_last.v")))
-        .drop("_side", "_value", "_last")
+        .drop("_side", "_value", "_last", "_before", "_p", "_k")
     )
 
 
 def nearest(left: DataFrame, right: DataFrame, keys: list[str], left_id: str, right_id: str, within_s: int) -> DataFrame:
     """Pairs (left_id, right_id, gap_s): for each left row (columns ts, id) its nearest right row of the keys, at most within_s away.
 
-    Time buckets of within_s turn the range into an equality on three buckets, so that a hot key
-    is split by time. Ties go to the smaller right_id.
+    The nearest is the last one before or the first one after. Time buckets of within_s, into each
+    of which the right rows of its neighbours come too, split a hot key; in a bucket both are found
+    by one sort, without pairs. Ties go to the smaller right_id.
     """
     width = within_s * 1_000_000
-    l = left.select(*keys, left_id, micros("ts").alias("_lt")).withColumn("_b", F.floor(F.col("_lt") / width))
-    r = right.select(*keys, right_id, micros("ts").alias("_rt")).withColumn(
-        "_b", F.explode(F.array(*[F.floor(F.col("_rt") / width) + d for d in (-1, 0, 1)]))
-    )
-    met = l.join(r, [*keys, "_b"]).withColumn("gap", F.abs(F.col("_lt") - F.col("_rt"))).filter(F.col("gap") <= width)
-    best = met.groupBy(*keys, left_id).agg(F.min(F.struct("gap", right_id)).alias("m"))
+    none = F.lit(None).cast(right.schema[right_id].dataType)
+    l = left.select(*keys, F.col(left_id), micros("ts").alias("_t"), none.alias("_r"), F.lit(1).alias("_side"))
+    l = l.withColumn("_b", F.floor(F.col("_t") / width)).filter("_t IS NOT NULL")
+    r = right.select(*keys, F.lit(None).cast(left.schema[left_id].dataType).alias(left_id), micros("ts").alias("_t"), F.col(right_id).alias("_r"), F.lit(0).alias("_side"))
+    r = r.filter("_t IS NOT NULL").withColumn("_b", F.explode(F.array(*[F.floor(F.col("_t") / width) + d for d in (-1, 0, 1)])))
+    both = l.unionByName(r)
+    shown = F.when(F.col("_side") == 0, F.struct("_t", "_r"))
+    w = Window.partitionBy(*keys, "_b")
+    # of several at one time the smallest id: it comes last in the one order and last in the other
+    before = F.last(shown, True).over(w.orderBy("_t", "_side", F.desc("_r")).rowsBetween(Window.unboundedPreceding, 0))
+    after = F.last(shown, True).over(w.orderBy(F.desc("_t"), "_side", F.desc("_r")).rowsBetween(Window.unboundedPreceding, 0))
+    near = lambda c: F.when(F.abs(F.col("_t") - F.col(f"{c}._t")) <= width, F.struct(F.abs(F.col("_t") - F.col(f"{c}._t")).alias("gap"), F.col(f"{c}._r").alias(right_id)))
+    met = both.withColumn("_x", before).withColumn("_y", after).filter("_side = 1")
+    best = met.withColumn("m", F.least(near("_x"), near("_y"))).filter("m IS NOT NULL")
     return best.select(*keys, left_id, F.col(f"m.{right_id}").alias(right_id), (F.col("m.gap") / 1e6).alias("gap_s"))
 
 
@@ -88,11 +103,6 @@ def salted(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left"
     return l.join(r, [*keys, "_salt"], how).drop("_salt")
 
 
-def small(df: DataFrame, max_rows: int) -> DataFrame:
-    """df marked for broadcast if it has at most max_rows rows, else as it is (the planner then shuffles)."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def ip_number(ip: Column) -> Column:
     """A dotted quad as number; null for anything else."""
     p = F.split(ip, r"\.")

@@ -1,7 +1,7 @@
 """Matching of logs that needs order within a user: greedy passes, adjacent rows, sessions.
 
-Each works on one user's rows at a time; users are spread by hash and their rows sorted by the
-engine. A user beyond max_rows is split by time gaps first, which no rule spans.
+Each works on one user's rows in order. A user's rows are cut at gaps that no rule spans, and the
+cuts are numbered by range partitions (`ranged`), so that a busy user is many groups.
 """
 
 from __future__ import annotations
@@ -13,13 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.operators.joins import micros
+from gleaner.operators.ranged import gap_parts
+from gleaner.session import written
 
 
 def by_gap(df: DataFrame, user: list[str], ts: str, gap_s: int, order: list[str], out: str = "part") -> DataFrame:
     """Number the parts of each user's rows that gaps of more than gap_s seconds separate."""
-    w = Window.partitionBy(*user).orderBy(ts, *order)
-    new = micros(ts) - micros(F.lag(ts).over(w)) > gap_s * 1_000_000
-    return df.withColumn(out, F.sum(F.coalesce(new, F.lit(False)).cast("int")).over(w))
+    return gap_parts(df, user, micros(ts), F.col("_gap") > gap_s * 1_000_000, [ts, *order], out)
 
 
 def session_id(df: DataFrame, user: str, ts: str, gap_s: int, order: list[str]) -> DataFrame:
@@ -42,9 +42,7 @@ def greedy_match(searches: DataFrame, clicks: DataFrame, keys: list[str], contai
     s = searches.select(*keys, F.lit(0).alias("side"), F.col("sid").alias("id"), "ts", "query", F.slice("urls", 1, 10).alias("urls"))
     c = clicks.select(*keys, F.lit(1).alias("side"), F.col("cid").alias("id"), "ts", "query", "urls")
     both = s.unionByName(c).filter("ts IS NOT NULL")
-    w = Window.partitionBy(*keys).orderBy("ts", "side", "id")
-    cut = F.coalesce(F.col("ts") - F.lag("ts").over(w) > reach, F.lit(False)).cast("int")
-    both = both.withColumn("_new", cut).withColumn("_part", F.sum("_new").over(w)).drop("_new")
+    both = gap_parts(both, keys, F.col("ts"), F.col("_gap") > reach, ["ts", "side", "id"], "_part")
     part = Window.partitionBy(*keys, "_part")  # parts with one side only can't match
     both = both.withColumn("_sides", F.max("side").over(part) - F.min("side").over(part)).filter("_sides = 1").drop("_sides")
     types = {f.name: f.dataType.simpleString() for f in both.schema}
@@ -124,7 +122,9 @@ def page_sessions(df: DataFrame, user: str = "mid", ts: str = "ts", url: str = "
     registrable domain) or the page before is the user's home page (most frequent page without
     referer, at least 3 times or 15 %).
 
-    Rows stream through in order, one user after the other, so a user's rows are never all held.
+    A page without referer 30 minutes or more after the one before begins a session whatever came
+    before: there a user's rows are cut. The parts stream through in order, each through one task,
+    and their sessions are numbered on afterwards.
     """
     from gleaner.functions import urls
 
@@ -140,17 +140,19 @@ def page_sessions(df: DataFrame, user: str = "mid", ts: str = "ts", url: str = "
     )
     domain = F.coalesce(urls.host_parts(urls.host(h))["domain"], urls.host(h))
     rows = df.join(home, user, "left").select(user, ts, url, ref, order, domain.alias("_domain"), "_home")
-    rows = rows.repartition(user).sortWithinPartitions(user, ts, order)
+    cut = (F.col(ref) == "") & (F.col("_gap") >= 1800 * 1_000_000)
+    rows = gap_parts(rows, [user], micros(ts), cut, [ts, order], "_part")
+    rows = rows.repartition(user, "_part").sortWithinPartitions(user, "_part", ts, order)
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
-    schema = f"{user} {types[user]}, {ts} {types[ts]}, {url} string, {order} {types[order]}, session bigint"
+    schema = f"{user} {types[user]}, _part bigint, {ts} {types[ts]}, {url} string, {order} {types[order]}, session bigint"
 
     def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         who, session, at, domain_before, url_before, seen = None, 0, None, None, None, set()
         for pdf in parts:
             numbers = []
-            for u, t, page, r, dom, home_page in zip(pdf[user], pdf[ts], pdf[url], pdf[ref], pdf["_domain"], pdf["_home"]):
-                if u != who:
-                    who, session, seen = u, 1, set()
+            for u, part, t, page, r, dom, home_page in zip(pdf[user], pdf["_part"], pdf[ts], pdf[url], pdf[ref], pdf["_domain"], pdf["_home"]):
+                if (u, part) != who:
+                    who, session, seen = (u, part), 1, set()
                 else:
                     gap = (t - at).total_seconds()
                     if r:
@@ -162,6 +164,11 @@ def page_sessions(df: DataFrame, user: str = "mid", ts: str = "ts", url: str = "
                 at, domain_before, url_before = t, dom, page
                 seen.add(page)
                 numbers.append(session)
-            yield pdf[[user, ts, url, order]].assign(session=numbers)
-
-    return rows.mapInPandas(scan, schema)
+            yield pdf[[user, "_part", ts, url, order]].assign(session=numbers)
+
+    scanned = written(rows.mapInPandas(scan, schema), "sessions")
+    sizes = scanned.groupBy(user, "_part").agg(F.max("session").alias("_n"))
+    before = Window.partitionBy(user).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(user, "_part", F.sum("_n").over(before).alias("_before"))
+    numbered = scanned.join(offsets, [user, "_part"]).withColumn("session", F.col("session") + F.coalesce("_before", F.lit(0)))
+    return numbered.drop("_part", "_before")

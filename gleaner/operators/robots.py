@@ -62,31 +62,38 @@ class Robots:
         return NONE
 
 
-def admit(urls: DataFrame, robots: DataFrame, agent: str, spider_type: int = 1) -> DataFrame:
+def admit(urls: DataFrame, robots: DataFrame, agent: str, policy: int = 1, salts: int = 32) -> DataFrame:
     """urls (host, path and more) with `level`, those that may be fetched.
 
-    robots: host, text. spider_type 3 ignores robots, 1 rejects level 2, 2 accepts it. Hosts
-    without robots have level 1. The text of a host is parsed once per run of rows: rows are
-    clustered by host, hot hosts spread over several tasks.
+    robots: host, text. policy 3 ignores robots, 1 rejects level 2, 2 accepts it. Hosts without
+    robots and null hosts have level 1. A host's urls are spread over `salts` groups and its text,
+    once per group, comes first in each, where it is parsed; no url row carries it.
     """
-    salted = urls.withColumn("_s", F.pmod(F.xxhash64("path"), F.lit(8)))
-    joined = salted.join(robots.select("host", F.col("text").alias("_robots")).dropDuplicates(["host"]), "host", "left")
-    rows = joined.repartition("host", "_s").sortWithinPartitions("host").drop("_s")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in urls.schema) + ", level int"
     names = urls.columns
+    types = {f.name: f.dataType for f in urls.schema}
+    u = urls.withColumn("_robots", F.lit(None).cast("string")).withColumn("_s", F.pmod(F.xxhash64("path"), F.lit(salts)).cast("int"))
+    text = robots.select("host", "text").dropDuplicates(["host"]).select(
+        *[F.col("host") if c == "host" else F.lit(None).cast(types[c]).alias(c) for c in names],
+        F.col("text").alias("_robots"),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_s"),
+    )
+    rows = text.withColumn("_url", F.lit(0)).unionByName(u.withColumn("_url", F.lit(1)))
+    rows = rows.repartition("host", "_s").sortWithinPartitions("host", "_s", "_url").drop("_s")
+    schema = ", ".join(f"`{c}` {t.simpleString()}" for c, t in types.items()) + ", level int"
 
     def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        text, book = None, Robots(None)
+        host, none = None, Robots(None)
+        book = none
         for pdf in parts:
             levels = []
-            for path, t in zip(pdf["path"], pdf["_robots"]):
-                t = t if isinstance(t, str) else None
-                if t != text:
-                    text, book = t, Robots(t)
-                levels.append(book.level(agent, path or "/"))
-            yield pdf[names].assign(level=levels)
+            for at, path, text, is_url in zip(pdf["host"], pdf["path"], pdf["_robots"], pdf["_url"]):
+                if not is_url:
+                    host, book = at, Robots(text)
+                else:
+                    levels.append((book if at == host and isinstance(at, str) else none).level(agent, path or "/"))
+            yield pdf[pdf["_url"] == 1][names].assign(level=levels)
 
     out = rows.mapInPandas(scan, schema)
-    if spider_type == 3:
+    if policy == 3:
         return out
-    return out.filter("level <> 0 AND level <> 2") if spider_type == 1 else out.filter("level <> 0")
+    return out.filter("level <> 0 AND level <> 2") if policy == 1 else out.filter("level <> 0")

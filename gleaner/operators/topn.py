@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleaner.operators.ranged import earlier, inside, pieces, with_offsets
+
 
 def top(df: DataFrame, keys: list[str], order: list[Column], n: int | Column, rank: str = "place") -> DataFrame:
     """First n rows of each group; with a literal n the engine cuts groups before its shuffle. n may be a column."""
@@ -19,9 +21,11 @@ def cumulative_nodes(df: DataFrame, load: str, tie: str, nodes: int, out: str =
     the loads fall, a row larger than the average moves the node one step only; the rule is
     sequential, its state (the node) is bounded by `nodes` and follows each partition's sums.
     """
-    total = df.agg(F.coalesce(F.sum(load), F.lit(0)).alias("t")).first()["t"]
+    order = [F.desc(load), F.asc(tie)]
+    x = pieces(df, [], order)
+    total = x.agg(F.coalesce(F.sum(load), F.lit(0)).alias("t")).first()["t"]
     average = total / nodes if nodes else 0
-    summed = running_sum(df, [F.desc(load), F.asc(tie)], load, "_sum", "_row")
+    summed = _summed(x, order, load, "_sum", "_row")
     # Node of a row: moves by one per row at most, so node(row) = min over earlier rows k of (reach(k) + rows since)
     reach = F.floor((F.col("_sum") - F.col(load)) / average) if average else F.lit(0)
     bound = running_min(summed.withColumn("_reach", (reach - F.col("_row")).cast("bigint")), "_row", "_reach", "_low")
@@ -31,16 +35,16 @@ def cumulative_nodes(df: DataFrame, load: str, tie: str, nodes: int, out: str =
 
 def running_sum(df: DataFrame, order: list[Column], value: str, out: str, row: str) -> DataFrame:
     """Exact running sums and row numbers (from 0) over a total order, by range partitions and their offsets."""
-    from gleaner.session import written
-
-    n = max(1, df.rdd.getNumPartitions())
-    placed = written(df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id()), "ranged")
-    totals = placed.groupBy("_p").agg(F.sum(value).alias("_t"), F.count(F.lit(1)).alias("_c"))
-    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
-    offsets = totals.select("_p", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_o"), F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_oc"))
-    w = Window.partitionBy("_p").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
-    x = placed.withColumn("_s", F.sum(value).over(w)).withColumn("_n", F.row_number().over(w))
-    return x.join(F.broadcast(offsets), "_p").withColumn(out, F.col("_s") + F.col("_o")).withColumn(row, F.col("_n") - 1 + F.col("_oc")).drop("_s", "_n", "_o", "_oc", "_i", "_p")
+    return _summed(pieces(df, [], order), order, value, out, row)
+
+
+def _summed(x: DataFrame, order: list[Column], value: str, out: str, row: str) -> DataFrame:
+    totals = x.groupBy("_p", "_k").agg(F.sum(value).alias("_t"), F.count(F.lit(1)).alias("_c"))
+    offsets = totals.select("_p", "_k", F.sum("_t").over(earlier()).alias("_o"), F.sum("_c").over(earlier()).alias("_oc")).filter("_oc > 0")
+    w = inside(order)
+    y = x.withColumn("_s", F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_n", F.row_number().over(w))
+    y = with_offsets(y, offsets)
+    return y.withColumn(out, F.col("_s") + F.coalesce("_o", F.lit(0))).withColumn(row, F.col("_n") - 1 + F.coalesce("_oc", F.lit(0))).drop("_s", "_n", "_o", "_oc", "_p", "_k")
 
 
 def running_min(df: DataFrame, order: str, value: str, out: str, block: int = 1 << 20) -> DataFrame:

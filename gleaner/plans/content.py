@@ -102,7 +102,12 @@ def r023_body_sample(spark, d):
     return c.orderBy(F.md5(F.col("info_id").cast("string"))).limit(1000)
 
 
-@query()
+@query(
+    f"""SELECT job_id, level FROM (SELECT job_id, CASE WHEN host IS NULL OR host NOT IN (SELECT host FROM archive_data WHERE host IS NOT NULL) OR host LIKE 'bbs.%' THEN 1
+WHEN host LIKE 'shop.%' THEN CASE WHEN path LIKE '/list?cat=7%' THEN 3 WHEN path LIKE '/list%' THEN 2 ELSE 3 END
+WHEN regexp_matches(path, '^/.*\\.aspx$') THEN 2 ELSE 3 END AS level
+FROM (SELECT job_id, {host_sql('url')} AS host, coalesce(nullif(regexp_extract(url, '^[a-zA-Z]+://[^/?#]*(.*)$', 1), ''), '/') AS path FROM crawl_job)) WHERE level NOT IN (0, 2)"""
+)
 def r042_robots_admission(spark, d):
     h = table(spark, d, "archive_data").filter("host IS NOT NULL").select("host").distinct()
     text = F.when(h["host"].startswith("shop."), "User-agent: *\nDisallow: /list\nAllow: /list?cat=7\n").when(h["host"].startswith("bbs."), "User-agent: other\nDisallow: /\n").otherwise("User-agent: *\nDisallow: /*.aspx$\n")
@@ -110,16 +115,8 @@ def r042_robots_admission(spark, d):
     return robots.admit(u, h.withColumn("text", text), "gleaner").select("job_id", "level")
 
 
-@query(
-    f"""SELECT archive_id, 'http://' || host || x AS link FROM (SELECT archive_id, {host_sql('url')} || coalesce(':' || nullif(regexp_extract(url, '^[a-z]+://[^/:]*:([0-9]+)', 1), ''), '') AS host, url, unnest(['', '/list?p=1']) AS x FROM archive_data WHERE url LIKE 'http://%')"""
-)
-def r130_links(spark, d):
-    """Of r130_links_all the links of pages whose url begins with http://, which the SQL can follow."""
-    return _page_links(_pages(spark, d).filter("url LIKE 'http://%'"))
-
-
 @query()
-def r130_links_all(spark, d):
+def r130_links(spark, d):
     """Absolute links of each page in document order, exploded; their scheme is that of the page's url."""
     return _page_links(_pages(spark, d))
 
@@ -199,15 +196,8 @@ def r144_assigned_classes(spark, d):
     return s.join(per, "simhash").select("archive_id", "simhash", "class_id", "copies")
 
 
-@query("SELECT archive_id, cdoc AS text FROM archive_data WHERE cdoc IS NOT NULL AND NOT regexp_matches(coalesce(cdoc, ''), '[^\\x00-\\x7F]')")
+@query("SELECT archive_id, cdoc AS text FROM archive_data WHERE cdoc IS NOT NULL")
 def r145_to_text(spark, d):
-    """Of r145_to_text_all the plain ASCII bodies in UTF-8, which are compared with SQL."""
-    a = table(spark, d, "archive_data").filter(F.col("cdoc").isNotNull() & ~F.col("cdoc").rlike(r"[^\x00-\x7F]"))
-    return _to_text(a.select("archive_id", F.encode("cdoc", "UTF-8").alias("b"), F.lit("utf-8").alias("declared")))
-
-
-@query()
-def r145_to_text_all(spark, d):
     """Bodies of bytes back to text by the charset they declare.
 
     A body is in its original_encoding and declares it, where that holds the text; else it is UTF-8
@@ -237,12 +227,12 @@ def r146_content_sizes(spark, d):
     return table(spark, d, "archive_data").select("archive_id", F.concat_ws(" ", n("title"), n("cdoc")).alias("sizes"))
 
 
-@query("SELECT a.archive_id, g.n AS anchors FROM archive_data a JOIN (SELECT url, max(n) AS n FROM (SELECT url, ref_url, count(*) AS n FROM pv WHERE ref_url <> '' GROUP BY ALL) GROUP BY url HAVING max(n) >= 1) g ON a.url = g.url", PV)
+@query(f"SELECT a.archive_id, g.n AS anchors FROM archive_data a JOIN (SELECT host, max(n) AS n FROM (SELECT {host_sql('url')} AS host, ref_url, count(*) AS n FROM pv WHERE ref_url <> '' GROUP BY ALL) GROUP BY host HAVING max(n) >= 10) g ON a.host = g.host", PV)
 def r147_graph_enrichment(spark, d):
-    """Pages with the count of their most frequent referer."""
-    pv = pv_log(spark, d).filter("ref_url <> ''").groupBy("url", "ref_url").agg(F.count(F.lit(1)).alias("n"))
-    g = pv.groupBy("url").agg(F.max("n").alias("anchors")).filter("anchors >= 1")
-    return table(spark, d, "archive_data").select("archive_id", "url").join(g, "url").select("archive_id", "anchors")
+    """Pages with the count of their host's most frequent referer, from ten on."""
+    pv = pv_log(spark, d).filter("ref_url <> ''").groupBy(urls.host(F.col("url")).alias("host"), "ref_url").agg(F.count(F.lit(1)).alias("n"))
+    g = pv.groupBy("host").agg(F.max("n").alias("anchors")).filter("anchors >= 10")
+    return table(spark, d, "archive_data").select("archive_id", "host").join(g, "host").select("archive_id", "anchors")
 
 
 @query("SELECT rec_id, CASE WHEN item_id <> '' THEN 'http://item.shop.example/item.htm?id=' || item_id END AS detail, CASE WHEN item_id <> '' THEN 'http://m.shop.example/i' || item_id || '.htm' END AS mobile FROM product_info")
@@ -259,10 +249,10 @@ def r184_list_expansion(spark, d):
     return p.select("rec_id", F.explode(shops.next_pages(u, 3, 44)).alias("url"))
 
 
-@query("SELECT rec_id, item_id, title FROM product_info WHERE item_id IS NOT NULL AND title IS NOT NULL")
+@query("SELECT rec_id, item_id, title FROM product_info")
 def r134_json_page(spark, d):
     """Items of JSON list pages, wrapped in a callback."""
-    p = table(spark, d, "product_info").filter("item_id IS NOT NULL AND title IS NOT NULL")
+    p = table(spark, d, "product_info")
     items = F.to_json(F.struct(F.array(F.struct("item_id", "title", "price")).alias("items"), F.lit(7).alias("page_count")))
     page = p.select("rec_id", F.concat(F.lit("jsonp12("), items, F.lit(");")).alias("body")).withColumn("x", shops.json_page(F.col("body")))
     return page.select("rec_id", F.explode("x.items").alias("i")).select("rec_id", "i.item_id", "i.title")
@@ -279,17 +269,8 @@ def r136_price(spark, d):
     return table(spark, d, "product_info").select("rec_id", shops.price(F.col("price")).alias("price"))
 
 
-@query("SELECT archive_id, left(title, 1024) AS title, left(cdoc, 1048576) AS text FROM archive_data WHERE cdoc <> '' AND NOT contains(coalesce(title, '') || cdoc, '  ') AND NOT regexp_matches(coalesce(title, '') || cdoc, '[^\\x21-\\x7E\\x{A1}-\\x{1FFF}\\x{2010}-\\x{2027}\\x{3001}-\\x{D7FF} ]') AND trim(title) = title AND trim(cdoc) = cdoc AND title <> ''")
-def r182_page_projection(spark, d):
-    """Of r182_page_projection_all title and text of pages without odd white space, which are compared with SQL."""
-    odd = r"[^\x21-\x7E\x{A1}-\x{1FFF}\x{2010}-\x{2027}\x{3001}-\x{D7FF} ]"
-    both = F.concat(F.coalesce("title", F.lit("")), F.col("cdoc"))
-    p = _pages(spark, d).filter((F.col("cdoc") != "") & (F.col("title") != "") & ~both.contains("  ") & ~both.rlike(odd) & (F.trim("title") == F.col("title")) & (F.trim("cdoc") == F.col("cdoc")))
-    return _projection(p).select("archive_id", "title", "text")
-
-
 @query()
-def r182_page_projection_all(spark, d):
+def r182_page_projection(spark, d):
     """Title, text and distinct links of style sheets, images and anchors, in document order, of every page with a body."""
     return _projection(_pages(spark, d).filter("cdoc <> ''"))
 

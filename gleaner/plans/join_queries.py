@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gleaner.functions import urls
-from gleaner.operators import joins, matching
+from gleaner.operators import joins, matching, ranged
 from gleaner.plans.base import HASH_SQL, PV, SEARCH, host_sql, pv_log, query, search_log
 from gleaner.session import written
 from gleaner.sources import table
@@ -37,7 +37,7 @@ def r047_hot_keys_and_skip_list(spark, d):
     pv = pv_log(spark, d)
     hot = pv.groupBy("url").agg(F.count(F.lit(1)).alias("n")).filter("n >= 50")
     skip = table(spark, d, "crawl_job").filter("resource_type = 3").select(F.col("url").alias("ref_url")).distinct()
-    return pv.join(joins.small(hot, 100_000), "url", "left").join(skip, "ref_url", "left_anti").select("id", "url", "n")
+    return pv.join(hot, "url", "left").join(skip, "ref_url", "left_anti").select("id", "url", "n")
 
 
 @query(
@@ -171,28 +171,17 @@ def r056_ip_ranges(spark, d):
 
 @query(
     f"""SELECT n.new_id, h.ips[({HASH_SQL.format('n.clicked_url')} % len(h.ips)) + 1] AS ip FROM new_url n JOIN
-(SELECT {host_sql('url')} AS host, list_sort(list(DISTINCT ip))[1:16] AS ips FROM crawl_job WHERE ip <> '' GROUP BY 1) h ON {host_sql('n.clicked_url')} = h.host"""
+(SELECT {host_sql('url')} AS host, list_sort(list(DISTINCT ip)) AS ips FROM crawl_job WHERE ip <> '' GROUP BY 1) h ON {host_sql('n.clicked_url')} = h.host"""
 )
 def r057_host_to_ip(spark, d):
-    """One of a host's (first sixteen) addresses by the url's hash instead of chance."""
+    """One of all the host's addresses: they are numbered in order, the url's hash instead of chance picks a number."""
     per = table(spark, d, "crawl_job").filter("ip <> ''").select(urls.host(F.col("url")).alias("host"), "ip").distinct()
-    few = per.withColumn("r", F.row_number().over(Window.partitionBy("host").orderBy("ip"))).filter("r <= 16")
-    book = few.groupBy("host").agg(F.sort_array(F.collect_list("ip")).alias("ips"))
-    n = table(spark, d, "new_url").select("new_id", "clicked_url", urls.host(F.col("clicked_url")).alias("host"))
-    at = F.pmod(F.conv(F.substr(F.md5("clicked_url"), F.lit(1), F.lit(8)), 16, 10).cast("bigint"), F.size("ips")) + 1
-    return n.join(joins.small(book, 200_000), "host").select("new_id", F.element_at("ips", at.cast("int")).alias("ip"))
-
-
-@query()
-def r057_host_to_ip_all(spark, d):
-    """As r057_host_to_ip, one of all the host's addresses: they are numbered in order, the url's hash picks a number."""
-    per = table(spark, d, "crawl_job").filter("ip <> ''").select(urls.host(F.col("url")).alias("host"), "ip").distinct()
-    book = written(per.filter("host IS NOT NULL").withColumn("at", F.row_number().over(Window.partitionBy("host").orderBy("ip"))), "addresses")
+    book = written(ranged.numbered(per.filter("host IS NOT NULL"), ["host"], ["ip"], "at"), "addresses")
     sizes = book.groupBy("host").agg(F.max("at").alias("size"))
     n = table(spark, d, "new_url").select("new_id", "clicked_url", urls.host(F.col("clicked_url")).alias("host"))
     at = F.pmod(F.conv(F.substr(F.md5("clicked_url"), F.lit(1), F.lit(8)), 16, 10).cast("bigint"), F.col("size")) + 1
-    picked = n.join(joins.small(sizes, 200_000), "host").select("new_id", "host", at.cast("int").alias("at"))
-    return picked.join(book.hint("merge"), ["host", "at"]).select("new_id", "ip")
+    picked = n.join(sizes, "host").select("new_id", "host", at.alias("at"))
+    return picked.join(book, ["host", "at"]).select("new_id", "ip")
 
 
 @query(
@@ -240,7 +229,7 @@ def r061_host_capacity(spark, d):
     """Of each host the shortest urls, as many as its page views allow; hosts without page views are unlimited."""
     pv = table(spark, d, "crawl_job").groupBy(urls.host(F.col("url")).alias("host")).agg(F.count(F.lit(1)).alias("n"))
     u = table(spark, d, "new_url").filter("clicked_url <> ''").select(F.col("clicked_url").alias("url"), urls.host(F.col("clicked_url")).alias("host")).distinct()
-    r = u.join(pv, "host", "left").withColumn("r", F.row_number().over(Window.partitionBy("host").orderBy(F.length("url"), "url")))
+    r = ranged.numbered(u.join(pv, "host", "left").withColumn("size", F.length("url")), ["host"], ["size", "url"], "r")
     return r.filter("n IS NULL OR r <= greatest(1, n div 20)").select("url", "host")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gleaner.functions import urls
-from gleaner.operators import matching, topn
+from gleaner.operators import matching, ranged, topn
 from gleaner.plans.base import HASH_SQL, PV, SEARCH, host_sql, pv_log, query, search_log
 from gleaner.sources import table
 
@@ -66,7 +66,8 @@ def r098_capacity_top(spark, d):
     j = table(spark, d, "crawl_job")
     k = j.groupBy(urls.host(F.col("url")).alias("host")).agg(F.greatest(F.lit(1), F.floor(F.expr("count(1) div 15") * 0.5)).alias("k"))
     u = j.groupBy("url").agg(F.min("resource_type").alias("type"), F.min("priority").alias("pri")).withColumn("host", urls.host(F.col("url")))
-    r = u.join(k, "host", "left").withColumn("r", F.row_number().over(Window.partitionBy("host", F.col("type") == 1).orderBy("type", "pri", F.length("url"), "url")))
+    x = u.join(k, "host", "left").withColumn("page", F.col("type") == 1).withColumn("size", F.length("url"))
+    r = ranged.numbered(x, ["host", "page"], ["type", "pri", "size", "url"], "r")
     return r.filter("type <> 1 OR k IS NULL OR r <= k").select("url", "host", "type")
 
 
@@ -76,9 +77,9 @@ def r098_capacity_top(spark, d):
 )
 def r099_direct_or_proxy(spark, d):
     u = table(spark, d, "crawl_job").filter("ip <> ''").select("ip", "url").distinct()
-    r = u.withColumn("r", F.row_number().over(Window.partitionBy("ip").orderBy("url")))
-    way = F.when(urls.host(F.col("url")).startswith("cdn.") | (F.col("r") > 20), "PROXY").otherwise("DIRECT")
-    return r.select("url", "ip", way.alias("way"))
+    first = topn.top(u, ["ip"], [F.col("url")], 20, "r")  # cut before the shuffle, so a busy address is small
+    way = F.when(urls.host(F.col("url")).startswith("cdn.") | F.col("r").isNull(), "PROXY").otherwise("DIRECT")
+    return u.join(first, ["ip", "url"], "left").select("url", "ip", way.alias("way"))
 
 
 @query(
@@ -86,7 +87,7 @@ def r099_direct_or_proxy(spark, d):
 )
 def r100_task_buckets(spark, d):
     u = table(spark, d, "crawl_job").select("url").distinct().withColumn("host", urls.host(F.col("url")))
-    return u.withColumn("r", F.row_number().over(Window.partitionBy("host").orderBy("url"))).select("url", "host", F.expr("(r - 1L) div 40").alias("task"))
+    return ranged.numbered(u, ["host"], ["url"], "r").select("url", "host", F.expr("(r - 1L) div 40").alias("task"))
 
 
 @query(
@@ -95,7 +96,7 @@ row_number() OVER (PARTITION BY ip ORDER BY job_id) AS r FROM (SELECT DISTINCT j
 )
 def r101_fetcher_of_key(spark, d):
     j = table(spark, d, "crawl_job").filter("ip <> ''").select("job_id", "ip").distinct()
-    r = j.withColumn("r", F.row_number().over(Window.partitionBy("ip").orderBy("job_id")))
+    r = ranged.numbered(j, ["ip"], ["job_id"], "r")
     return r.select("job_id", urls.shard(F.col("ip"), 43).alias("fetcher"), F.expr("(r - 1L) div 10").alias("batch"))
 
 
@@ -115,19 +116,25 @@ def r169_nodes_by_count(spark, d):
     return r102_cumulative_load(spark, d).groupBy("node").agg(F.sum("load").alias("urls"))
 
 
-@query("SELECT sid, mid, ts, rank, url FROM s", SEARCH)
+@query("SELECT sid, mid, ts, rank, url, row_number() OVER (PARTITION BY sid ORDER BY mid, ts, rank, url) AS place FROM s", SEARCH)
 def r103_secondary_sort(spark, d):
-    return search_log(spark, d).select("sid", "mid", "ts", "rank", "url").repartition("sid").sortWithinPartitions("sid", "mid", "ts", "rank")
+    """Rows of a page in order, with their place."""
+    s = search_log(spark, d).select("sid", "mid", "ts", "rank", "url")
+    return ranged.numbered(s, ["sid"], ["mid", "ts", "rank", "url"], "place")
 
 
-@query("SELECT url, count(*) AS n FROM crawl_job GROUP BY url")
+@query("SELECT url, n, row_number() OVER (ORDER BY n DESC, url) AS place FROM (SELECT url, count(*) AS n FROM crawl_job GROUP BY url)")
 def r104_global_sort(spark, d):
-    return table(spark, d, "crawl_job").groupBy("url").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "url")
+    """All urls by falling count, with their place in the order."""
+    n = table(spark, d, "crawl_job").groupBy("url").agg(F.count(F.lit(1)).alias("n"))
+    return ranged.numbered(n, [], [F.desc("n"), F.col("url").asc_nulls_last()], "place")
 
 
-@query("SELECT job_id, importance FROM crawl_job WHERE importance IS NOT NULL")
+@query("SELECT job_id, importance, row_number() OVER (ORDER BY importance DESC, job_id) AS place FROM crawl_job WHERE importance IS NOT NULL")
 def r171_sort_by_double(spark, d):
-    return table(spark, d, "crawl_job").filter("importance IS NOT NULL").select("job_id", "importance").orderBy(F.desc("importance"), "job_id")
+    """Jobs by falling importance, with their place in the order; repeated rows are alike, so their order doesn't show."""
+    j = table(spark, d, "crawl_job").filter("importance IS NOT NULL").select("job_id", "importance")
+    return ranged.numbered(j, [], [F.desc("importance"), "job_id"], "place")
 
 
 @query(
@@ -220,16 +227,16 @@ def r178_dictionary_lookup(spark, d):
 def r179_priority_tiers(spark, d):
     """Tiers by cumulative share of the sorted urls, by range partitions in place of one global window."""
     n = table(spark, d, "crawl_job").groupBy("url").agg(F.count(F.lit(1)).alias("n"))
-    total = n.count()
-    ranked = topn.running_sum(n, [F.desc("n"), F.asc("url")], "n", "_s", "_row")
-    p = F.col("_row") / F.lit(max(1, total))
+    ranked = ranged.numbered(n.withColumn("less", -F.col("n")), [], ["less", "url"], "_row")
+    p = (F.col("_row") - 1) / F.lit(max(1, ranked.count()))
     return ranked.select("url", F.when(p < 0.05, 1).when(p < 0.85, 2).otherwise(3).alias("tier"))
 
 
-@query("SELECT DISTINCT unnest(regexp_extract_all(text, 'https?://[a-z0-9.-]+')) AS hub FROM documents WHERE text IS NOT NULL")
+@query("SELECT DISTINCT referer AS hub FROM crawl_job WHERE regexp_matches(referer, '^https?://[^/]+/(list|index|channel|tag|search)') AND url IS NOT NULL AND url <> referer")
 def r180_hub_harvest(spark, d):
-    found = F.regexp_extract_all("text", F.lit(r"https?://[a-z0-9.-]+"), 0)
-    return table(spark, d, "documents").filter("text IS NOT NULL").select(F.explode(found).alias("hub")).distinct()
+    """List pages that lead to other pages."""
+    j = table(spark, d, "crawl_job").filter("url IS NOT NULL AND url <> referer")
+    return j.filter(F.col("referer").rlike("^https?://[^/]+/(list|index|channel|tag|search)")).select(F.col("referer").alias("hub")).distinct()
 
 
 @query(

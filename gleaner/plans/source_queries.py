@@ -59,25 +59,18 @@ def r012_multi_output(spark, d):
     return spark.read.schema(schema).parquet(at).groupBy("site").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT DISTINCT clicked_url AS target FROM new_url WHERE clicked_url <> '' AND NOT contains(clicked_url, '/link?url=')")
-def r116_plain_targets(spark, d):
-    """Urls that are no redirect links pass through; the descrambling of the others isn't carried over."""
-    u = F.col("clicked_url")
-    return table(spark, d, "new_url").filter((u != "") & ~u.contains("/link?url=")).select(u.alias("target")).distinct()
-
-
 @query(
-    f"""SELECT new_id, rtrim(split_part(trim(referer), '#', 1), '/') AS link FROM new_url WHERE referer LIKE 'http%' AND clicked_url LIKE 'http%' AND NOT regexp_matches(referer, '[ &<>"\\t\\n]')
-AND NOT regexp_matches(lower(referer), '\\.(exe|zip|rar|iso|apk)$') AND regexp_extract({host_sql('referer')}, '([^.]+\\.[^.]+)$', 1) <> regexp_extract({host_sql('clicked_url')}, '([^.]+\\.[^.]+)$', 1)"""
+    """SELECT DISTINCT CASE WHEN NOT contains(clicked_url, '/link?url=') THEN clicked_url WHEN regexp_matches(x, '^https?(://|%3[Aa]%2[Ff]%2[Ff])') THEN
+replace(replace(replace(x, '%3A', ':'), '%2F', '/'), '%3F', '?') END AS target FROM (SELECT clicked_url, regexp_extract(clicked_url, '[?&]url=([^&#]*)', 1) AS x FROM new_url WHERE clicked_url <> '')"""
 )
-def r129_foreign_anchors(spark, d):
-    """Of r129_foreign_anchors_all the referers without characters that the SQL can't follow."""
-    n = table(spark, d, "new_url").filter(~F.col("referer").rlike(r'[ &<>"\t\n]'))
-    return _foreign_anchors(n)
+def r116_plain_targets(spark, d):
+    """Targets of urls: of redirect links the url they carry, null where it is scrambled (`urls.redirect_target` takes a key); others pass."""
+    u = F.col("clicked_url")
+    return table(spark, d, "new_url").filter(u != "").select(urls.redirect_target(u).alias("target")).distinct()
 
 
 @query()
-def r129_foreign_anchors_all(spark, d):
+def r129_foreign_anchors(spark, d):
     """Anchors of a page that lead to another domain than its own."""
     return _foreign_anchors(table(spark, d, "new_url"))
 

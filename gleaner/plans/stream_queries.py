@@ -119,6 +119,6 @@ def r165_task_push(spark, d):
 def r167_composite_document(spark, d):
     a = table(spark, d, "archive_data")
     news = a.filter("host LIKE 'news.%'").groupBy("host").agg((F.count(F.lit(1)) + 1).alias("score"))
-    met = a.join(joins.small(news, 100_000), "host", "left")
+    met = a.join(news, "host", "left")
     doc = met.select("archive_id", F.struct("title", F.coalesce("score", F.lit(0)).alias("news_score")).alias("doc"))
     return doc.select("archive_id", "doc.title", "doc.news_score")

@@ -68,8 +68,10 @@ def spread(df: DataFrame, per_core: int = 3) -> DataFrame:
     """Repartition only where the scan has fewer splits than the cores need.
 
     For stages whose time goes into Python: on large inputs there are more splits than cores
-    and nothing is moved.
+    and nothing is moved. What comes out of a shuffle is left as it is (and not run to be counted).
     """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     wanted = cores * per_core
     return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)

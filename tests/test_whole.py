@@ -5,7 +5,6 @@ import json
 from urllib.parse import quote_plus
 
 from gleaner.functions import html
-from gleaner.llm import residue
 from gleaner.operators import drift
 from gleaner.plans import content, filters, general, join_queries, source_queries
 from test_general import batches
@@ -63,7 +62,7 @@ def test_search_queries_of_all_scripts(spark, tmp_path):
     links = [f"http://e.example/s?x=1&q={quote_plus(w)}" for w in words] + ["http://e.example/x?q=a", None, "", "http://e.example/s?q=%CB%AE%B1%AD+A", "http://e.example/s?q=100%"]
     n = spark.createDataFrame(list(enumerate(links)), "new_id bigint, clicked_url string")
     n.write.parquet(str(tmp_path / "new_url.parquet"))
-    got = {r.new_id: r.query for r in filters.r112_search_query_all(spark, str(tmp_path)).collect()}
+    got = {r.new_id: r.query for r in filters.r112_search_query(spark, str(tmp_path)).collect()}
     assert got == {i: w.lower() for i, w in enumerate(words) if w.strip()} | {len(words) + 3: "水杯 a", len(words) + 4: "100%"}
 
 
@@ -78,33 +77,16 @@ def test_every_address_of_a_host_can_be_chosen(spark, tmp_path):
     for i, u in enumerate(links[:800]):
         ips = book[u[7]]
         want[i] = ips[int(hashlib.md5(u.encode()).hexdigest()[:8], 16) % len(ips)]
-    got = [r for r in join_queries.r057_host_to_ip_all(spark, str(tmp_path)).collect() if r.new_id < 1600]
+    got = [r for r in join_queries.r057_host_to_ip(spark, str(tmp_path)).collect() if r.new_id < 1600]
     assert len(got) == 800 and {r.new_id: r.ip for r in got} == want
     assert set(want.values()) == {f"10.0.0.{i}" for i in range(40)}
 
 
-def test_placeholders_after_any_script_and_of_any_length():
-    why = residue.Finder().why
-    name = "a_rather_long_name_of_a_value." * 5
-    for text in (
-        "本页由__PRICE__提供",
-        "ночь__TITLE__",
-        f"Dear {{{{ user | default('{name}') }}}}, hello",
-        f"Dear ${{{name} + {name}}}",
-        "{{% if a > b and {} %}}".format(name),
-        f"<% if (a > b) {{ print('{name}') }} %>",
-        f"von <?php echo $row->title . '{name}' ?> bis",
-    ):
-        assert why(text) == "placeholder", text
-    for text in ("snake__case__name", "a {{ b", "5 <% of it", "50 % of <b>all</b> 5 %"):
-        assert why(text) is None, text
-
-
 def test_links_of_pages_of_any_scheme(spark, tmp_path):
     pages = ["http://a.example/x", "https://b.example:8443/y?z=1", "HTTPS://c.example/", "", None, "ftp://d.example/"]
     rows = [(i, u, "h", "t", "text") for i, u in enumerate(pages)]
     spark.createDataFrame(rows, "archive_id bigint, url string, host string, title string, cdoc string").write.parquet(str(tmp_path / "archive_data.parquet"))
-    got = [tuple(r) for r in content.r130_links_all(spark, str(tmp_path)).orderBy("archive_id", "link").collect()]
+    got = [tuple(r) for r in content.r130_links(spark, str(tmp_path)).orderBy("archive_id", "link").collect()]
     roots = ["http://a.example", "https://b.example:8443", "https://c.example"]
     assert got == [(i, f"{u}{x}") for i, u in enumerate(roots) for x in ("", "/list?p=1")]
 
@@ -113,7 +95,7 @@ def test_foreign_anchors_with_any_character(spark, tmp_path):
     referers = ["http://a.example/s?q=1&lt=2&copy;=3", "http://a.example/x y", "http://a.example/<b>\"q\"", "http://a.example/it's", "http://w.own.test/?a&b", "https://a.example/z?&amp;", None, ""]
     rows = [(i, "https://www.own.test/p", r) for i, r in enumerate(referers)]
     spark.createDataFrame(rows, "new_id bigint, clicked_url string, referer string").write.parquet(str(tmp_path / "new_url.parquet"))
-    got = {r.new_id: r.link for r in source_queries.r129_foreign_anchors_all(spark, str(tmp_path)).collect()}
+    got = {r.new_id: r.link for r in source_queries.r129_foreign_anchors(spark, str(tmp_path)).collect()}
     assert got == {i: r for i, r in enumerate(referers) if r and "own.test" not in r}
 
 ARCHIVE = "archive_id bigint, url string, host string, original_encoding string, title string, cdoc string"
@@ -125,7 +107,7 @@ def test_bodies_of_all_charsets_round_trip(spark, tmp_path):
     cases = [(t, n) for t in texts for n in names] + [(None, "UTF-8")]
     rows = [(i, "http://a.example/", "a", n, "t", t) for i, (t, n) in enumerate(cases)]
     spark.createDataFrame(rows, ARCHIVE).write.parquet(str(tmp_path / "archive_data.parquet"))
-    got = {r.archive_id: r.text for r in content.r145_to_text_all(spark, str(tmp_path)).collect()}
+    got = {r.archive_id: r.text for r in content.r145_to_text(spark, str(tmp_path)).collect()}
     assert got == {i: t for i, (t, _) in enumerate(cases) if t is not None}
     assert html.to_bytes("水杯", "gbk") == ("水杯".encode("gbk"), "gbk")  # not UTF-8 under another name
     assert html.to_bytes("水杯", "LATIN-1") == ("水杯".encode(), "utf-8")
@@ -135,7 +117,7 @@ def test_every_page_is_projected_with_its_links(spark, tmp_path):
     pages = [("a  b", "x  y "), ("，Ａ", "全角！Ｂ — …"), (None, "é & <b>"), ("", "\ttab"), ("t" * 2000, "z" * 1048580), ("no body", ""), ("none", None)]
     rows = [(i, "https://a.example/d/x" if i != 2 else None, "a", None, t, c) for i, (t, c) in enumerate(pages)]
     spark.createDataFrame(rows, ARCHIVE).write.parquet(str(tmp_path / "archive_data.parquet"))
-    got = {r.archive_id: r for r in content.r182_page_projection_all(spark, str(tmp_path)).collect()}
+    got = {r.archive_id: r for r in content.r182_page_projection(spark, str(tmp_path)).collect()}
     assert {i: (r.title, r.text) for i, r in got.items()} == {i: (" ".join((t or "").split())[:1024], c[:1048576]) for i, (t, c) in enumerate(pages) if c}
     for i, r in got.items():
         want = (["/main.css"], ["/logo.png"], ["", "/list?p=1"]) if i != 2 else ([], [], [])
