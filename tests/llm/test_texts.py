@@ -107,6 +107,23 @@ CONTENT = [
 ]
 
 
+def test_placeholders_after_any_script_and_of_any_length():
+    why = residue.Finder().why
+    name = "a_rather_long_name_of_a_value." * 5
+    for text in (
+        "本页由__PRICE__提供",
+        "ночь__TITLE__",
+        f"Dear {{{{ user | default('{name}') }}}}, hello",
+        f"Dear ${{{name} + {name}}}",
+        "{{% if a > b and {} %}}".format(name),
+        f"<% if (a > b) {{ print('{name}') }} %>",
+        f"von <?php echo $row->title . '{name}' ?> bis",
+    ):
+        assert why(text) == "placeholder", text
+    for text in ("snake__case__name", "a {{ b", "5 <% of it", "50 % of <b>all</b> 5 %"):
+        assert why(text) is None, text
+
+
 # Wording of public servers, browsers and services, not consulted for the phrase lists.
 HELD_OUT = """
 Ошибка 404. Такой страницы нет на сайте.
