@@ -11,8 +11,12 @@ PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)"
 QUERY = r"^[^?#]*\?([^#]*)"
 IPV4 = r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"
 
-# Public suffixes of more than one label and resource types by suffix.
-LONG_SUFFIXES = ["com.cn", "net.cn", "org.cn", "gov.cn", "edu.cn", "com.hk", "com.tw", "co.jp", "co.uk", "co.kr", "com.au", "com.br"]
+# Labels below a country's that make a public suffix with it, countries that have none, other long suffixes.
+SECOND_LEVEL = "com net org gov edu ac co mil or ne go gob gouv gov nom info biz name web sch school ltd plc me lg re pe firm gen ind id in asn res".split()
+FLAT_COUNTRIES = "de fr nl be ch at dk se no fi cz eu us io me tv cc ws ru it es pt pl".split()
+LONG_SUFFIXES = ["com.pl", "net.pl", "org.pl", "edu.pl", "gov.pl", "com.es", "org.es", "nom.es", "gob.es", "com.ru", "msk.ru", "spb.ru", "com.pt", "edu.pt", "gov.it", "edu.it", "asso.fr", "gouv.fr", "gv.at", "ac.at", "co.at", "or.at"]
+PROVINCES = "bj sh tj cq he sx nm ln jl hl js zj ah fj jx sd ha hb hn gd gx hi sc gz yn xz sn gs qh nx xj tw hk mo".split()  # below cn
+# Resource types by suffix.
 CSS_SUFFIXES = ["css"]
 IMAGE_SUFFIXES = ["jpg", "jpeg", "png", "gif", "bmp", "ico", "webp"]
 BANNED_SUFFIXES = ["exe", "zip", "rar", "iso", "mp3", "mp4", "avi", "apk", "pdf", "doc", "xls"]
@@ -96,7 +100,9 @@ def host_parts(h: Column) -> Column:
     labels = F.split(h, r"\.")
     n = F.size(labels)
     two = F.concat_ws(".", F.try_element_at(labels, F.lit(-2)), F.try_element_at(labels, F.lit(-1)))
-    k = F.when(two.isin(LONG_SUFFIXES), 2).otherwise(1)
+    last, second = F.try_element_at(labels, F.lit(-1)), F.try_element_at(labels, F.lit(-2))
+    country = (F.length(last) == 2) & ~last.isin(FLAT_COUNTRIES) & second.isin(SECOND_LEVEL)
+    k = F.when(two.isin(LONG_SUFFIXES) | country | ((last == "cn") & second.isin(PROVINCES)), 2).otherwise(1)
     ok = ~is_ip(h) & (n > k) & ~h.contains("..") & ~h.startswith(".") & ~h.endswith(".")
     part = lambda a, size: F.array_join(F.slice(labels, F.greatest(a, F.lit(1)), F.greatest(size, F.lit(0))), ".")
     return F.struct(

@@ -81,10 +81,10 @@ def r031_first_pages(spark, d):
     return table(spark, d, "crawl_job").filter(F.col("url").contains("?") & rules.within_pages(F.col("url"), 1)).select("job_id")
 
 
-@query(f"SELECT job_id FROM crawl_job WHERE {host_sql('url')} = 'bbs.donglu.test' AND {host_sql('referer')} = 'bbs.donglu.test' AND url LIKE '%?%' AND referer LIKE '%?%'")
+@query(f"SELECT job_id FROM crawl_job WHERE {host_sql('url')} = 'shop.luomei-mall.example' AND {host_sql('referer')} = 'shop.luomei-mall.example' AND url LIKE '%?%' AND referer LIKE '%?%'")
 def r032_black_hole(spark, d):
     u, r = F.col("url"), F.col("referer")
-    hole = urls.host(u).isin("bbs.donglu.test") & (urls.host(r) == urls.host(u)) & u.contains("?") & r.contains("?")
+    hole = urls.host(u).isin("shop.luomei-mall.example") & (urls.host(r) == urls.host(u)) & u.contains("?") & r.contains("?")
     return table(spark, d, "crawl_job").filter(hole).select("job_id")
 
 
