@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.operators.joins import micros
+from gleaner.operators.ranged import gap_parts
 
 OK, FULL, DROP = 0, -1, -2
 
@@ -46,19 +48,25 @@ class State:
     fetched: int = 0
     connections: int = 0
     failures: int = 0
+    failed_at: int = 0
+    hold: int = 0  # how long the address rests after the last failure
 
 
 @dataclass
 class Limiter:
     """Decisions for one address. Times are microseconds; nothing is read from a clock.
 
-    `burst` fetches may fall into burst / qps seconds. check: 0 admits, a positive value is the
-    earliest time to come again, -1 means all connections are in use, -2 too many failures.
+    `burst` fetches may fall into burst / qps seconds. From hold_after failures in a row on, the
+    address rests after each failure, for a time between the bounds of hold_s that differs from
+    failure to failure. check: 0 admits, a positive value is the earliest time to come again, -1
+    means all connections are in use, -2 too many failures.
     """
 
     rules: list[Rule] = field(default_factory=lambda: [Rule()])
     burst: int = 10
     max_failures: int = 100
+    hold_after: int = 10
+    hold_s: tuple[float, float] = (5.0, 5.0)
     state: State = field(default_factory=State)
 
     def rule(self, at: int) -> Rule:
@@ -69,12 +77,12 @@ class Limiter:
         s, r = self.state, self.rule(at)
         if s.failures >= self.max_failures:
             return DROP
-        if s.connections >= r.max_connections:
-            return FULL
-        width = int(self.burst / r.max_qps * 1_000_000)
-        if s.window < 0 or at >= s.window + width:
-            return OK
-        return OK if s.fetched < self.burst else s.window + width
+        ends = s.window + int(self.burst / r.max_qps * 1_000_000)
+        if s.window >= 0 and at < ends and s.fetched >= self.burst:
+            return ends
+        if s.failures >= self.hold_after and at < s.failed_at + s.hold:
+            return s.failed_at + s.hold
+        return FULL if s.connections >= r.max_connections else OK
 
     def register(self, at: int) -> None:
         s, width = self.state, int(self.burst / self.rule(at).max_qps * 1_000_000)
@@ -83,32 +91,70 @@ class Limiter:
         s.fetched += 1
         s.connections += 1
 
-    def release(self, success: bool) -> None:
+    def release(self, success: bool, at: int = 0) -> None:
         s = self.state
         s.connections = max(0, s.connections - 1)
         s.failures = 0 if success else s.failures + 1
+        if not success:
+            low, high = self.hold_s
+            spread = s.failures * 0.6180339887498949 % 1  # spreads over the bounds without chance
+            s.failed_at, s.hold = at, int((low + (high - low) * spread) * 1_000_000)
+
+
+class Fetcher:
+    """The limiters of one fetcher's addresses under one limit of all its connections.
+
+    Addresses that have nothing to remember (no connection, no failure, window over) are forgotten
+    once there are more than `keep` of them.
+    """
+
+    def __init__(self, max_total: int = 1000, keep: int = 100_000, **limits):
+        self.max_total, self.keep, self.limits = max_total, keep, limits
+        self.connections, self.known = 0, {}
+
+    def _of(self, address: str, at: int) -> Limiter:
+        if address not in self.known and len(self.known) >= self.keep:
+            busy = lambda x: x.state.connections or x.state.failures or at < x.state.window + int(x.burst / x.rule(at).max_qps * 1_000_000)
+            self.known = {k: x for k, x in self.known.items() if busy(x)}
+        return self.known.setdefault(address, Limiter(**self.limits))
+
+    def check(self, address: str, at: int) -> int:
+        got = self._of(address, at).check(at)
+        return FULL if got == OK and self.connections >= self.max_total else got
+
+    def register(self, address: str, at: int) -> None:
+        self._of(address, at).register(at)
+        self.connections += 1
+
+    def release(self, address: str, success: bool, at: int) -> None:
+        self._of(address, at).release(success, at)
+        self.connections -= 1
 
 
 def simulate(jobs: DataFrame, key: str, ts: str, order: str, fetch_s: float = 1.0, **limits) -> DataFrame:
     """key, order, decision, wait_s of each job against its key's limiter, in order of time.
 
-    A fetch holds its connection for fetch_s seconds. Jobs stream through sorted by key, so a
-    task holds one key's state, whatever the number of its jobs. Null keys are left out.
+    A fetch holds its connection for fetch_s seconds and succeeds. After a gap in which every
+    connection has been given back and the window is over, a limiter remembers nothing: there a
+    key's jobs are cut, and each part streams through a task with constant state. Null keys and
+    null times are left out.
     """
-    rows = jobs.filter(F.col(key).isNotNull()).select(key, order, micros(ts).alias("_at"))
-    rows = rows.repartition(key).sortWithinPartitions(key, "_at", order)
+    width = max(limits.get("burst", 10) / r.max_qps for r in [*limits.get("rules", []), Rule()])
+    idle = int(max(fetch_s, width) * 1_000_000) + 1
+    rows = jobs.filter(F.col(key).isNotNull()).select(key, order, micros(ts).alias("_at")).filter("_at IS NOT NULL")
+    rows = gap_parts(rows, [key], F.col("_at"), F.col("_gap") > idle, ["_at", order], "_part")
+    rows = rows.repartition(key, "_part").sortWithinPartitions(key, "_part", "_at", order)
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
 
     def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        who, limiter, busy, hold = None, None, [], int(fetch_s * 1e6)
+        who, limiter, busy, hold = None, None, deque(), int(fetch_s * 1e6)
         for pdf in parts:
             out = []
-            for k, at in zip(pdf[key], pdf["_at"]):
-                if k != who:
-                    who, limiter, busy = k, Limiter(**limits), []
+            for k, part, at in zip(pdf[key], pdf["_part"], pdf["_at"]):
+                if (k, part) != who:
+                    who, limiter, busy = (k, part), Limiter(**limits), deque()
                 while busy and busy[0] <= at:
-                    busy.pop(0)
-                    limiter.release(True)
+                    limiter.release(True, busy.popleft())
                 got = limiter.check(at)
                 if got == OK:
                     limiter.register(at)

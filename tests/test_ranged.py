@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleaner.operators import joins, matching, ranged, topn
+from gleaner.streaming import limiter
 
 
 @pytest.fixture(scope="module")
@@ -99,3 +100,45 @@ def test_page_sessions_cut_and_go_on(spark):
             seen.add(url)
             assert got[i] == session
         assert max(got[x[4]] for x in own) > 20
+
+
+def test_limits_of_a_cut_key_are_those_of_the_whole(spark):
+    r = random.Random(13)
+    jobs, t = [], 0
+    for i in range(800):
+        t += r.choice([0, 1, 3, 10, 40, 300])
+        jobs.append(("hot" if r.random() < 0.8 else r.choice(["b", None]), t, i))
+    df = frame(spark, [(i, k, t, True) for k, t, i in jobs]).withColumn("ts", F.timestamp_seconds("t"))
+    rules = [limiter.Rule(2, 0.1)]
+    got = {x.id: (x.decision, x.wait_s) for x in limiter.simulate(df, "k", "ts", "id", fetch_s=20, rules=rules, burst=3).collect()}
+    for key in ("hot", "b"):
+        one, busy = limiter.Limiter(rules=rules, burst=3), []
+        for k, t, i in jobs:
+            if k == key:
+                for _ in [x for x in busy if x <= t]:
+                    one.release(True)
+                busy = [x for x in busy if x > t]
+                state = one.check(t * 1_000_000)
+                if state == limiter.OK:
+                    one.register(t * 1_000_000)
+                    busy.append(t + 20)
+                want = {limiter.OK: "ok", limiter.FULL: "full"}.get(state, "wait")
+                assert got[i] == (want, state / 1e6 - t if want == "wait" else 0.0)
+    assert len(got) == sum(k is not None for k, _, _ in jobs)
+
+
+def test_rest_after_failures_and_limit_of_all():
+    one = limiter.Limiter(hold_after=2, hold_s=(5, 9), max_failures=4)
+    for n in range(4):
+        assert one.check(n * 100_000_000) == limiter.OK
+        one.register(n * 100_000_000)
+        one.release(False, n * 100_000_000 + 1)
+        rest = one.check(n * 100_000_000 + 2)
+        assert rest == limiter.OK if n < 1 else rest == limiter.DROP if n == 3 else 5_000_000 <= rest - n * 100_000_000 <= 9_000_001
+    f = limiter.Fetcher(max_total=2, keep=1)
+    for a in "ab":
+        assert f.check(a, 0) == limiter.OK
+        f.register(a, 0)
+    assert f.check("c", 0) == limiter.FULL
+    f.release("a", True, 1)
+    assert f.check("c", 1) == limiter.OK and f.connections == 1
