@@ -96,7 +96,8 @@ def near_pairs(values: DataFrame, column: str = "simhash", distance: int = 3) ->
     """a < b, distance: all pairs of distinct values at most `distance` (up to 3) bits apart.
 
     64 bits lie in five blocks; two values within 3 bits agree in at least two blocks, so ten
-    keys of two blocks each find every pair. Equal values are one class and never paired.
+    keys of two blocks each find every pair. Equal values are one class and never paired. A key that
+    many values share is split by the engine's skew handling; each pair comes from one table only.
     """
     if distance > 3:
         raise ValueError("ten keys of two blocks find distances up to 3")
@@ -109,9 +110,12 @@ def near_pairs(values: DataFrame, column: str = "simhash", distance: int = 3) ->
     v = values.select(F.col(column).alias("v")).filter("v IS NOT NULL").distinct()
     keyed = v.withColumn("k", F.explode(F.array(*keys))).select("v", "k.table", "k.key")
     a, b = keyed.select(F.col("v").alias("a"), "table", "key"), keyed.select(F.col("v").alias("b"), "table", "key")
-    far = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
+    differ = F.col("a").bitwiseXOR(F.col("b"))
+    far = F.bit_count(differ)
+    same = [F.shiftrightunsigned(differ, starts[i]).bitwiseAND((1 << BLOCKS[i]) - 1) == 0 for i in range(5)]
+    first = F.coalesce(*[F.when(same[i] & same[j], F.lit(k)) for k, (i, j) in enumerate(itertools.combinations(range(5), 2))])
     met = a.join(b, ["table", "key"]).filter("a < b").withColumn("distance", far).filter(F.col("distance") <= distance)
-    return met.select("a", "b", "distance").distinct()
+    return met.filter(F.col("table") == first).select("a", "b", "distance")  # each pair once, from its first table
 
 
 def bad_pages(pages: DataFrame, bad: DataFrame, signature: str, url: str, least: str) -> DataFrame:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import functions as F
 
 from gleaner.functions import html, shops, urls
 from gleaner.operators import robots, simhash
 from gleaner.plans.base import HASH_SQL, PV, host_sql, pv_log, query
-from gleaner.session import spread
-from gleaner.sources import dump, table
+from gleaner.session import shared_dir, spread
+from gleaner.sources import dump, table, writers
 
 
 def _pages(spark, d):
@@ -70,8 +72,11 @@ def r010_css_resources(spark, d):
 
 @query("SELECT archive_id, 'snappy' AS codec, length(cdoc) AS chars FROM archive_data WHERE cdoc IS NOT NULL")
 def r007_compressed_content(spark, d):
-    """Compression is the file format's: the content is kept as it is and written with its codec."""
-    return table(spark, d, "archive_data").filter("cdoc IS NOT NULL").select("archive_id", F.lit("snappy").alias("codec"), F.length("cdoc").alias("chars"))
+    """Contents written with the file format's snappy codec and read again; the codec is that of the file a row came from."""
+    at = f"{shared_dir(spark)}/content-{uuid.uuid4().hex}"
+    table(spark, d, "archive_data").filter("cdoc IS NOT NULL").select("archive_id", "cdoc").write.parquet(at, compression="snappy")
+    codec = F.regexp_extract(F.input_file_name(), r"\.(\w+)\.parquet$", 1)
+    return spark.read.schema("archive_id bigint, cdoc string").parquet(at).select("archive_id", codec.alias("codec"), F.length("cdoc").alias("chars"))
 
 
 @query("SELECT CASE WHEN payload IS NULL THEN 'null' WHEN payload = '' THEN 'empty' WHEN payload NOT LIKE '{%}' THEN 'cut' END AS reason, count(*) AS n FROM raw_batches WHERE payload IS NULL OR payload NOT LIKE '{%}' GROUP BY 1")
@@ -92,7 +97,11 @@ def r014_counters(spark, d):
 
 @query("SELECT strftime(arrived_ts, '%Y%m%d%H') AS file, count(*) AS rows FROM crawl_job GROUP BY 1")
 def r020_time_split(spark, d):
-    return table(spark, d, "crawl_job").groupBy(F.date_format("arrived_ts", "yyyyMMddHH").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+    """Jobs written into a folder per hour of arrival and counted by what was written."""
+    at = f"{shared_dir(spark)}/hours-{uuid.uuid4().hex}"
+    writers.time_split(table(spark, d, "crawl_job").select("job_id", "arrived_ts"), at, "arrived_ts")
+    kept = spark.read.schema("job_id bigint, arrived_ts timestamp_ntz, file string").parquet(at)
+    return kept.groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query("SELECT info_id FROM (SELECT DISTINCT info_id, md5(CAST(info_id AS VARCHAR)) AS m FROM crawl_info WHERE content_type IS NOT NULL AND content_type NOT LIKE 'text/html%') ORDER BY m LIMIT 1000")
