@@ -294,12 +294,12 @@ def batches(docs: list[tuple[str, list]], model: Model, width: int, n: int, seed
         yield x, y
 
 
-def train(docs: list[tuple[str, list]], chars: str, steps: int, width: int = 96, n: int = 96, rate: float = 6e-3, seconds: float = 1e9) -> Model:
-    model = Model.new(chars)
+def train(docs: list[tuple[str, list]], chars: str, steps: int, width: int = 96, n: int = 96, rate: float = 6e-3, seconds: float = 1e9, model: Model | None = None, seed: int = 1) -> Model:
+    model = model or Model.new(chars)
     m = {k: np.zeros_like(v) for k, v in model.p.items()}
     v = {k: np.zeros_like(w) for k, w in model.p.items()}
     began, mean = time.time(), None
-    for step, (x, y) in enumerate(batches(docs, model, width, n, 1), 1):
+    for step, (x, y) in enumerate(batches(docs, model, width, n, seed), 1):
         share = max(step / steps, (time.time() - began) / seconds)
         if share >= 1:
             break
@@ -361,6 +361,7 @@ def main() -> None:
     args.add_argument("--steps", type=int, default=3000)
     args.add_argument("--seconds", type=float, default=900)
     args.add_argument("--start", help="weights of an earlier model, whose names are labels too")
+    args.add_argument("--resume", help="weights to go on from, at half the rate")
     args.add_argument("--out", default=str(WEIGHTS))
     a = args.parse_args()
     texts = sample(a.documents, a.rows)
@@ -368,7 +369,10 @@ def main() -> None:
     held, docs = docs[::10], [d for i, d in enumerate(docs) if i % 10]
     counts = Counter(c for t, _ in docs for c in fold(t))
     chars = "".join(c for c, n in counts.most_common(900) if n >= 5 and not c.isdigit() and c not in " \t")
-    model = train(docs, chars, a.steps, seconds=a.seconds)
+    if a.resume:
+        model = train(docs, chars, a.steps, seconds=a.seconds, rate=3e-3, model=Model.load(a.resume), seed=2)
+    else:
+        model = train(docs, chars, a.steps, seconds=a.seconds)
     model.save(a.out)
     report(Model.load(a.out), held)
     report_held(Model.load(a.out))
