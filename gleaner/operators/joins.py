@@ -24,11 +24,11 @@ def as_of(left: DataFrame, right: DataFrame, keys: list[str], time: str, tie: st
     l = left.withColumn("_side", F.lit(1)).withColumn("_value", F.lit(None).cast(right.schema[value].dataType))
     r = right.select(*keys, time, F.col(value).alias("_value")).withColumn("_side", F.lit(0))
     order = [F.col(time).asc_nulls_first(), "_side", "_value", tie]
-    both = ranged.pieces(r.unionByName(l, allowMissingColumns=True), keys, order)
+    both, split = ranged.pieces(r.unionByName(l, allowMissingColumns=True), keys, order)
     shown = F.when(F.col("_side") == 0, F.struct(F.col(time).alias("at"), F.col("_value").alias("v")))
     last = F.last(shown, True).over(ranged.inside(order).rowsBetween(Window.unboundedPreceding, 0))
     before = both.groupBy("_p", "_k").agg(F.max(shown).alias("_m")).withColumn("_before", F.last("_m", True).over(ranged.earlier()))
-    met = ranged.with_offsets(both.withColumn("_last", last), before.filter("_before IS NOT NULL").select("_p", "_k", "_before"))
+    met = ranged.with_offsets(both.withColumn("_last", last), before.filter("_before IS NOT NULL").select("_p", "_k", "_before"), split)
     return (
         met.withColumn("_last", F.coalesce("_last", "_before"))
         .filter("_side = 1")

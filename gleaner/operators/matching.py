@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.operators.joins import micros
-from gleaner.operators.ranged import gap_parts
-from gleaner.session import written
+from gleaner.operators.ranged import gap_parts, running
 
 
 def by_gap(df: DataFrame, user: list[str], ts: str, gap_s: int, order: list[str], out: str = "part") -> DataFrame:
@@ -144,31 +143,27 @@ def page_sessions(df: DataFrame, user: str = "mid", ts: str = "ts", url: str = "
     rows = gap_parts(rows, [user], micros(ts), cut, [ts, order], "_part")
     rows = rows.repartition(user, "_part").sortWithinPartitions(user, "_part", ts, order)
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
-    schema = f"{user} {types[user]}, _part bigint, {ts} {types[ts]}, {url} string, {order} {types[order]}, session bigint"
+    schema = f"{user} {types[user]}, {ts} {types[ts]}, {url} string, {order} {types[order]}, _started int"
 
     def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        who, session, at, domain_before, url_before, seen = None, 0, None, None, None, set()
+        who, at, domain_before, url_before, seen = None, None, None, None, set()
         for pdf in parts:
-            numbers = []
+            started = []
             for u, part, t, page, r, dom, home_page in zip(pdf[user], pdf["_part"], pdf[ts], pdf[url], pdf[ref], pdf["_domain"], pdf["_home"]):
+                same = False
                 if (u, part) != who:
-                    who, session, seen = (u, part), 1, set()
+                    who = u, part
                 else:
                     gap = (t - at).total_seconds()
                     if r:
                         same = gap < 1800 or r in seen
                     else:
                         same = gap < 300 or (gap < 1800 and (dom == domain_before or url_before == home_page))
-                    if not same:
-                        session, seen = session + 1, set()
+                if not same:
+                    seen = set()
                 at, domain_before, url_before = t, dom, page
                 seen.add(page)
-                numbers.append(session)
-            yield pdf[[user, "_part", ts, url, order]].assign(session=numbers)
-
-    scanned = written(rows.mapInPandas(scan, schema), "sessions")
-    sizes = scanned.groupBy(user, "_part").agg(F.max("session").alias("_n"))
-    before = Window.partitionBy(user).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(user, "_part", F.sum("_n").over(before).alias("_before"))
-    numbered = scanned.join(offsets, [user, "_part"]).withColumn("session", F.col("session") + F.coalesce("_before", F.lit(0)))
-    return numbered.drop("_part", "_before")
+                started.append(int(not same))
+            yield pdf[[user, ts, url, order]].assign(_started=started)
+
+    return running(rows.mapInPandas(scan, schema), [user], [ts, order], "_started", "session").drop("_started")

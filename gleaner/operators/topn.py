@@ -22,10 +22,10 @@ def cumulative_nodes(df: DataFrame, load: str, tie: str, nodes: int, out: str =
     sequential, its state (the node) is bounded by `nodes` and follows each partition's sums.
     """
     order = [F.desc(load), F.asc(tie)]
-    x = pieces(df, [], order)
+    x, split = pieces(df, [], order)
     total = x.agg(F.coalesce(F.sum(load), F.lit(0)).alias("t")).first()["t"]
     average = total / nodes if nodes else 0
-    summed = _summed(x, order, load, "_sum", "_row")
+    summed = _summed(x, split, order, load, "_sum", "_row")
     # Node of a row: moves by one per row at most, so node(row) = min over earlier rows k of (reach(k) + rows since)
     reach = F.floor((F.col("_sum") - F.col(load)) / average) if average else F.lit(0)
     bound = running_min(summed.withColumn("_reach", (reach - F.col("_row")).cast("bigint")), "_row", "_reach", "_low")
@@ -35,15 +35,15 @@ def cumulative_nodes(df: DataFrame, load: str, tie: str, nodes: int, out: str =
 
 def running_sum(df: DataFrame, order: list[Column], value: str, out: str, row: str) -> DataFrame:
     """Exact running sums and row numbers (from 0) over a total order, by range partitions and their offsets."""
-    return _summed(pieces(df, [], order), order, value, out, row)
+    return _summed(*pieces(df, [], order), order, value, out, row)
 
 
-def _summed(x: DataFrame, order: list[Column], value: str, out: str, row: str) -> DataFrame:
+def _summed(x: DataFrame, split: bool, order: list[Column], value: str, out: str, row: str) -> DataFrame:
     totals = x.groupBy("_p", "_k").agg(F.sum(value).alias("_t"), F.count(F.lit(1)).alias("_c"))
     offsets = totals.select("_p", "_k", F.sum("_t").over(earlier()).alias("_o"), F.sum("_c").over(earlier()).alias("_oc")).filter("_oc > 0")
     w = inside(order)
     y = x.withColumn("_s", F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_n", F.row_number().over(w))
-    y = with_offsets(y, offsets)
+    y = with_offsets(y, offsets, split)
     return y.withColumn(out, F.col("_s") + F.coalesce("_o", F.lit(0))).withColumn(row, F.col("_n") - 1 + F.coalesce("_oc", F.lit(0))).drop("_s", "_n", "_o", "_oc", "_p", "_k")
 
 
