@@ -311,15 +311,15 @@ def _scan(langs: tuple[str, ...] | None, wanted=None):
     return scan
 
 
-def _wanted(windows: DataFrame, texts: DataFrame, max_bytes: int) -> Wanted:
+def _wanted(windows: DataFrame, items: DataFrame, max_bytes: int) -> Wanted:
     """The items' template hashes in at most max_bytes, as arrays (8 bytes each) or as a bitmap."""
-    hashes = windows.select("lang", "h").distinct()
-    n = hashes.count()
+    hashes = windows.select((F.col("lang") == "en").alias("en"), "h").distinct()
+    few = hashes.limit(max_bytes // 8 + 1).toPandas()
     bare = F.regexp_replace("text", r"[^\p{L}\p{N}]", "")
-    han = texts.filter("lang = 'zh'").filter(bare.rlike("[^㐀-鿿]{20}")).isEmpty()
-    if 8 * n <= max_bytes:
-        arrays = {k: hashes.filter(F.col("lang") == k).select("h").toPandas().h.to_numpy(np.int64) for k in ("en", "zh")}
-        return Wanted({k: np.sort(a.view(np.uint64)) for k, a in arrays.items()}, None, han)
+    han = items.filter("lang = 'zh'").filter(bare.rlike("[^㐀-鿿]{20}")).isEmpty()
+    if 8 * len(few) <= max_bytes:
+        english, h = few.en.to_numpy(bool), few.h.to_numpy(np.int64).view(np.uint64)
+        return Wanted({"en": np.sort(h[english]), "zh": np.sort(h[~english])}, None, han)
     words = 1 << max(0, (max_bytes // 8).bit_length() - 1)
     bits = hashes.selectExpr(f"shiftright(h & {64 * words - 1}, 6) AS w", "shiftleft(1L, CAST(h & 63 AS INT)) AS bit")
     some = bits.groupBy("w").agg(F.bit_or("bit").alias("bits")).toPandas()  # at most `words` rows
@@ -350,7 +350,7 @@ def leaks(docs: DataFrame, items: DataFrame, max_bytes: int = 64 << 20) -> DataF
     own = items.select(F.col("item_id").cast("bigint").alias("item_id"), "lang", "text").filter("item_id IS NOT NULL AND text <> '' AND lang IN ('en', 'zh')")
     texts = own.groupBy("lang", "text").agg(F.min("item_id").alias("id"))
     item_windows = written(_flat(spread(texts.select("id", "lang", "text"), 1).mapInArrow(_scan(None), OUT), "id"), "item-windows")
-    wanted = spark.sparkContext.broadcast(_wanted(item_windows, texts, max_bytes))
+    wanted = spark.sparkContext.broadcast(_wanted(item_windows, own, max_bytes))
     source = spread(docs.select(F.col("doc_id").cast("bigint").alias("id"), F.lit("").alias("lang"), "text"))
     found = written(source.mapInArrow(_scan(("en", "zh"), wanted), OUT), "runs")
     runs = found.groupBy("run").agg(*[F.first(c).alias(c) for c in ("lang", "form", "h", "r", "slots")])

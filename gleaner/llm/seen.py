@@ -253,15 +253,16 @@ def next_generation(codes: DataFrame, new: DataFrame, bits: int, lead: int, max_
     return codes.groupBy("part").cogroup(firsts.groupBy("part")).applyInArrow(merge, CODES)
 
 
-def fresh_ids(known: DataFrame, new: DataFrame, bits: int = 64) -> DataFrame:
+def fresh_ids(known: DataFrame, new: DataFrame, bits: int = 64, rows: int | None = None) -> DataFrame:
     """Ids of the new records whose sign is neither known nor that of a new record with a smaller id.
 
     known: one column `sign`; new: `sign` and `id` (unique). Rows with null sign are left out.
     bits: bits of the sign that are kept; fewer bits take less memory and give wrong answers
     (a new key taken for a known one) at a rate near n / 2**bits. With 64, only two keys with the
-    same 64 bits of MD5 are confused.
+    same 64 bits of MD5 are confused. rows: about how many there are at most, if that is known; it
+    only decides how many partitions there are.
     """
-    rows = max(known.count(), new.count())
+    rows = max(known.count(), new.count()) if rows is None else rows
     lead = min(bits - 1, part_bits(rows, known.sparkSession.sparkContext.defaultParallelism))
     codes = written(encode(known, bits, lead), "seen-codes")
     return unknown(codes, new, bits, lead)
@@ -273,10 +274,11 @@ def seen_before(known: DataFrame, new: DataFrame, id_col: str, url_col: str, bit
     Null and empty urls, and urls of which the rules leave nothing, have no key and are never
     seen before. Equal ids are not expected; id_col null is left out. Either table may be empty.
     """
+    rows = max(known.count(), new.count())  # from the files' footers
     keyed = new.select(F.col(id_col).alias("id"), sign_of(url_key(F.col(url_col))).alias("sign")).filter(
         "id IS NOT NULL AND sign IS NOT NULL"
     )
-    return keyed.select("id").join(fresh_ids(known, keyed, bits), "id", "left_anti").withColumnRenamed("id", id_col)
+    return keyed.select("id").join(fresh_ids(known, keyed, bits, rows), "id", "left_anti").withColumnRenamed("id", id_col)
 
 
 def status_signs(status: DataFrame) -> DataFrame:
